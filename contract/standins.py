@@ -10,14 +10,22 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from strata.functions.numeric import pm25_to_aqi
-from strata.operators.enrich import build_integrated
+from strata.operators.enrich import add_zone, build_integrated
 from strata.operators.transforms import prepare, to_silver
 
 
+_SCHEMAS: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    """A driver table.  Its schema is inferred once per path, which saves a footer job on every later read."""
+    path = f"{sf}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def events(spark: SparkSession, sf: str, *types: str) -> DataFrame:
@@ -119,8 +127,6 @@ def order_trips(spark: SparkSession, sf: str) -> DataFrame:
         F.col("o_totalprice").alias("fare_amount"),
         F.col("o_totalprice").alias("total_amount"),
     )
-    from strata.operators.enrich import add_zone
-
     return add_zone(orders, zones, "pickup")
 
 

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from strata.functions.types import whole_number
+
 # The local zone of the trips and the accepted timestamp spellings.
 LOCAL_TIME_ZONE = "America/New_York"
 TIMESTAMP_FORMATS = ("yyyy-MM-dd HH:mm:ss", "MM/dd/yyyy HH:mm:ss")
@@ -43,7 +45,7 @@ def date_and_time(day: Column | str, clock: Column | str) -> Column:
 
 def timestamp_from_parts(year, month, day, hour) -> Column:
     """The top of the hour named by four integer columns; null for impossible dates."""
-    parts = [_column(c).try_cast("int") for c in (year, month, day, hour)]
+    parts = [whole_number(_column(c)) for c in (year, month, day, hour)]
     return F.try_make_timestamp(*parts, F.lit(0), F.lit(0))
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,6 +34,11 @@ ACCEPTED_TYPES = {
 }
 
 
+def whole_number(value: Column, target: str = "int") -> Column:
+    """An integer from text or number; a fraction is cut off, as "5.0" for an hour should read 5."""
+    return F.coalesce(value.try_cast(target), value.try_cast("double").try_cast(target))
+
+
 def cast_declared(df: DataFrame, expected: Mapping[str, str]) -> DataFrame:
     """Read the declared columns as their logical types in one projection; undeclared columns pass through.
 
@@ -44,11 +49,25 @@ def cast_declared(df: DataFrame, expected: Mapping[str, str]) -> DataFrame:
         column = F.col(f"`{field.name}`")
         if target is None or field.dataType.simpleString() == target:
             return column
+        if target in ("int", "bigint") and isinstance(field.dataType, T.StringType):
+            return whole_number(column, target).alias(field.name)
         return column.try_cast(target).alias(field.name)
 
     return df.select(*[typed(f) for f in df.schema.fields])
 
 
+def align_to(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """Cast the columns shared with ``schema`` to its types in one projection; new columns pass through."""
+    stored = {f.name: f.dataType for f in schema.fields}
+
+    def aligned(field):
+        column = F.col(f"`{field.name}`")
+        target = stored.get(field.name, field.dataType)
+        return column if target == field.dataType else column.try_cast(target).alias(field.name)
+
+    return df.select(*[aligned(f) for f in df.schema.fields])
+
+
 def schema_errors(schema: T.StructType, expected: Mapping[str, str]) -> list[str]:
     """One message per declared column that is absent or stored as an unsuitable type; extra columns are fine."""
     stored = {f.name: f.dataType for f in schema.fields}

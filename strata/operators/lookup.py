@@ -12,7 +12,7 @@ BROADCAST_ROW_LIMIT = 1_000_000
 def estimated_bytes(df: DataFrame) -> int | None:
     """Catalyst's own size estimate of the plan; no job runs."""
     try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     except AttributeError:  # a session without a local JVM
         return None
 

@@ -10,12 +10,13 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from strata.config import DEFAULT_DIRECTORY, list_datasets, load_dataset
+from strata.functions.types import align_to
 from strata.lake import Lake
 from strata.operators.rules import ValidationResult, quality_rules, run_row_checks
 from strata.operators.transforms import to_silver
 from strata.operators.upsert import rows_to_insert
 from strata.plans.runs import record_run
-from strata.sources.tables import align_to, cluster_for_write, read_table, write_rejects, write_table
+from strata.sources.tables import cluster_for_write, read_table, write_table
 
 
 def _write_counted(df: DataFrame, path: str, partition_by: Sequence[str] = (), *, mode: str = "overwrite") -> int:
@@ -105,6 +106,3 @@ def merge_to_silver(
     fresh = rows_to_insert(source, target, key, null_safe=null_safe, prune_by=prune_by)
     inserted = _write_counted(fresh, lake.silver(table), partition_by, mode="append")
     return inserted, rejected
-
-
-__all__ = ["merge_to_silver", "promote_all", "promote_dataset", "promote_frame", "write_rejects"]

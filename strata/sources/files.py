@@ -10,7 +10,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.functions.types import cast_declared
+from strata.functions.types import align_to, cast_declared
 
 SUPPORTED_SUFFIXES = (".csv", ".parquet")
 
@@ -91,7 +91,7 @@ def discover_files(spark: SparkSession, root: str, keywords: Iterable[str]) -> l
     Only names come back to the driver, which needs them to build the scan.
     """
     keywords = tuple(keywords)
-    path = F.lower(F.col("path"))
+    path = F.lower(F.substring_index(F.col("path"), root.rstrip("/"), -1))
     wanted = reduce(lambda a, b: a | b, [path.contains(k.lower()) for k in keywords])
     suffix = reduce(lambda a, b: a | b, [path.endswith(s) for s in SUPPORTED_SUFFIXES])
     rows = list_files(spark, root).filter(wanted & suffix).select("path").orderBy("path").toLocalIterator()
@@ -105,16 +105,18 @@ def read_mixed(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """CSV and Parquet files as one frame, matched by column name.
 
     Parquet files are one multi-path scan.  CSV headers may differ from file to file, so the files are grouped by
-    header first and each group is one scan, instead of one plan node per file.
+    header first and each group is one scan, instead of one plan node per file.  Text stays text (inference would
+    cost a pass and would turn a clock time into a timestamp of today) unless Parquet has a type for the column.
     """
     parquet = [p for p in paths if p.lower().endswith(".parquet")]
     groups: dict[tuple[str, ...], list[str]] = {}
     for p in paths:
         if p.lower().endswith(".csv"):
             groups.setdefault(tuple(read_csv(spark, p).columns), []).append(p)
-    frames = [read_csv(spark, group, infer=True) for group in groups.values()]
+    frames = [read_csv(spark, group) for group in groups.values()]
     if parquet:
-        frames.append(spark.read.option("mergeSchema", True).parquet(*parquet))
+        columnar = spark.read.option("mergeSchema", True).parquet(*parquet)
+        frames = [columnar, *[align_to(f, columnar.schema) for f in frames]]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.functions.names import with_safe_columns
+from strata.functions.types import align_to
 
 
 def read_table(spark: SparkSession, path: str, *, merge_schema: bool = True) -> DataFrame:
@@ -73,18 +74,6 @@ def write_table(
     return path
 
 
-def align_to(df: DataFrame, schema) -> DataFrame:
-    """Cast the columns shared with ``schema`` to its types in one projection; new columns pass through."""
-    stored = {f.name: f.dataType for f in schema.fields}
-
-    def aligned(field):
-        column = F.col(f"`{field.name}`")
-        target = stored.get(field.name, field.dataType)
-        return column if target == field.dataType else column.try_cast(target).alias(field.name)
-
-    return df.select(*[aligned(f) for f in df.schema.fields])
-
-
 def prepare_bronze(df: DataFrame, existing_schema=None) -> DataFrame:
     """Safe column names, the ingest time, and on append the types of the existing table."""
     framed = with_safe_columns(df).withColumn("_ingested_at", F.current_timestamp())

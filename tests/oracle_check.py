@@ -19,10 +19,10 @@ def canonical(value):
     """One text per value that both engines agree on."""
     if value is None:
         return "null"
-    if isinstance(value, bool):
-        return str(value)
-    if isinstance(value, (int, float, Decimal)):
-        return f"{float(value):.6f}".replace("-0.000000", "0.000000")
+    if isinstance(value, float):
+        return f"{value:.6f}".replace("-0.000000", "0.000000")
+    if isinstance(value, Decimal):
+        return f"decimal {value}"
     return str(value)
 
 
