@@ -15,6 +15,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+# Pieces a hot key is cut into; at most this many leaders meet in one task.
+SALTS = 16_384
+
 
 def _content_order(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column | str]) -> list[Column]:
     declared = [F.col(o).asc_nulls_first() if isinstance(o, str) else o for o in order_by]
@@ -44,7 +47,9 @@ def repeats_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[Colum
     order = _content_order(df, keys, order_by)
     columns = df.columns
     hot = repeated_keys(df, keys).toDF(*[f"_k_{k}" for k in keys])
-    salted = df.withColumn("_salt", F.spark_partition_id())
+    # The input partition spreads exact copies, the content spreads the distinct rows of a key.
+    rest = [F.col(f"`{c}`") for c in columns if c not in keys]
+    salted = df.withColumn("_salt", F.pmod(F.xxhash64(F.spark_partition_id(), *rest), F.lit(SALTS)))
     rows = salted.join(hot, null_safe_match(salted, hot, keys, "_k_"), "left_semi")
     # An explicit repartition: Spark would otherwise reuse the join's partitioning by key alone for the window.
     spread = rows.repartition(*[F.col(k) for k in keys], F.col("_salt"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,11 +21,9 @@ def estimated_bytes(df: DataFrame) -> int | None:
 
 def auto_broadcast_bytes(df: DataFrame) -> int:
     """The session's automatic broadcast threshold in bytes; zero when switched off."""
-    text = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
-    try:
-        return max(0, int(df.sparkSession._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(text)))
-    except (AttributeError, TypeError):
-        return max(0, int(text)) if text.lstrip("-").isdigit() else 0
+    text = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760").strip().lower()
+    match = re.fullmatch(r"(\d+)\s*([kmgt]?)i?b?", text)
+    return int(match[1]) * 1024 ** " kmgt".index(match[2] or " ") if match else 0
 
 
 def lookup_side(df: DataFrame, row_limit: int = BROADCAST_ROW_LIMIT) -> DataFrame:
