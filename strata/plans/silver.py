@@ -16,7 +16,7 @@ from strata.operators.rules import ValidationResult, quality_rules, run_row_chec
 from strata.operators.transforms import to_silver
 from strata.operators.upsert import rows_to_insert
 from strata.plans.runs import record_run
-from strata.sources.tables import cluster_for_write, read_table, write_table
+from strata.sources.tables import cluster_for_write, read_table, table_exists, write_table
 
 
 def _write_counted(df: DataFrame, path: str, partition_by: Sequence[str] = (), *, mode: str = "overwrite") -> int:
@@ -27,11 +27,19 @@ def _write_counted(df: DataFrame, path: str, partition_by: Sequence[str] = (), *
     return counted.get["rows"]
 
 
+def _write_rejects(rejects: DataFrame, lake: Lake, table: str, mode: str) -> int:
+    """Quarantine with the time of rejection; appended rows take the types of the existing quarantine."""
+    spark, path = rejects.sparkSession, lake.rejects(table)
+    stamped = rejects.withColumn("_rejected_at", F.current_timestamp())
+    if mode == "append" and table_exists(spark, path):
+        stamped = align_to(stamped, read_table(spark, path).schema)
+    return _write_counted(stamped, path, mode=mode)
+
+
 def _write_both(
     result: ValidationResult, lake: Lake, table: str, partition_by: Sequence[str], *, rejects_mode: str = "overwrite"
 ) -> tuple[int, int]:
-    stamped = result.rejects_df.withColumn("_rejected_at", F.current_timestamp())
-    rejected = _write_counted(stamped, lake.rejects(table), mode=rejects_mode)
+    rejected = _write_rejects(result.rejects_df, lake, table, rejects_mode)
     kept = _write_counted(result.good_df, lake.silver(table), partition_by)
     return kept, rejected
 
@@ -98,8 +106,7 @@ def merge_to_silver(
     checked = run_row_checks(update, quality_rules(**quality))
     rejected = 0
     if not checked.rejects_df.isEmpty():
-        stamped = checked.rejects_df.withColumn("_rejected_at", F.current_timestamp())
-        rejected = _write_counted(stamped, lake.rejects(table), mode="append")
+        rejected = _write_rejects(checked.rejects_df, lake, table, "append")
     target = read_table(spark, lake.silver(table))
     source = align_to(checked.good_df, target.schema)
     key = [c for c in primary_key if c in source.columns]

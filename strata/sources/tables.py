@@ -80,19 +80,6 @@ def prepare_bronze(df: DataFrame, existing_schema=None) -> DataFrame:
     return framed if existing_schema is None else align_to(framed, existing_schema)
 
 
-def write_bronze(
-    df: DataFrame, path: str, partition_by: Sequence[str] | None = None, *, mode: str = "overwrite"
-) -> str:
-    spark = df.sparkSession
-    schema = read_table(spark, path).schema if mode == "append" and table_exists(spark, path) else None
-    return write_table(prepare_bronze(df, schema), path, partition_by, mode=mode)
-
-
-def write_rejects(df: DataFrame, path: str, *, mode: str = "overwrite") -> str:
-    """Quarantined rows with the time of rejection; replaced on every promote, or appended."""
-    return write_table(df.withColumn("_rejected_at", F.current_timestamp()), path, mode=mode)
-
-
 def preview(df: DataFrame, n: int = 3) -> tuple[int, list]:
     """Row count and the first few rows."""
     return df.count(), df.take(n)

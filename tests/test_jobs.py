@@ -220,7 +220,8 @@ def test_mixed_files(spark, tmp_path):
 
 def test_training_from_raw_and_from_the_lake(spark, lake, tmp_path):
     parts = raw_training.raw_training_splits(spark, lake.raw())
-    assert [p.count() for p in parts[1:]] == [0, 0]
+    # One stray pickup in June passes here; only the lake rejects it.
+    assert [p.count() for p in parts[1:]] == [0, 1]
     train = parts[0]
     # The raw path keeps rows that the lake rejects, such as the repeated ones; only unusable fares are dropped.
     assert train.count() > raw_lake.GOOD_TRIPS
