@@ -62,6 +62,11 @@ MEASURES = (
 )
 
 
+def _small_sort(df: DataFrame, *order) -> DataFrame:
+    """Order a result whose size is bounded by the calendar or by fixed bins: one task, no sampling pass."""
+    return df.repartition(1).sortWithinPartitions(*order)
+
+
 def is_cube(df: DataFrame) -> bool:
     return "trips" in df.columns
 
@@ -120,7 +125,7 @@ def distance_by_weather(df: DataFrame, computed_at: bool = False) -> DataFrame:
     columns = ["temp_category", "wind_category", "trip_count", _mean("_distance", "trip_count").alias("avg_distance_miles")]
     columns += ["avg_humidity_pct"] if humid else []
     columns += [F.current_timestamp().alias("_computed_at")] if computed_at else []
-    return out.select(*columns).orderBy("temp_category", "wind_category")
+    return _small_sort(out.select(*columns), "temp_category", "wind_category")
 
 
 def pm25_demand(df: DataFrame, with_aqi: bool = False) -> DataFrame:
@@ -211,7 +216,7 @@ def peak_hours_by_weekday(df: DataFrame) -> DataFrame:
     order = Window.partitionBy("dow").orderBy(F.desc("avg_trips"), F.desc("trip_count"), F.asc("pickup_hour"))
     top = hourly_by_weekday(df).withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") == 1)
     names = F.array(*[F.lit(d) for d in DAY_NAMES])
-    return top.orderBy((F.col("dow") + 5) % 7).select(
+    return _small_sort(top, (F.col("dow") + 5) % 7).select(
         F.element_at(names, F.col("dow")).alias("day_of_week"),
         F.col("pickup_hour").alias("peak_hour"),
         "trip_count", "active_days", "avg_trips",
@@ -232,7 +237,7 @@ def monthly_trends(df: DataFrame) -> DataFrame:
     return (
         monthly.withColumn("prev_month_avg_daily", previous)
         .withColumn("pct_change_vs_prev_month", stable_round(change, 2))
-        .orderBy("trip_month")
+        .sortWithinPartitions("trip_month")
     )
 
 

@@ -13,12 +13,16 @@ from strata.config import DEFAULT_DIRECTORY, DatasetConfig, list_datasets, load_
 from strata.lake import Lake
 from strata.operators.rules import run_schema_checks
 from strata.operators.transforms import prepare
-from strata.plans.runs import record_run
+from strata.plans.concurrent import side_by_side
+from strata.plans.runs import OPS_WRITE, record_run
 from strata.sources.files import (
     apply_filter, list_files, not_yet_ingested, path_exists, read_files, union_update,
 )
 from strata.sources.tables import cluster_for_write, prepare_bronze, read_table, table_exists, write_table
 
+# Fixed layout of the register of loaded files.
+REGISTER_SCHEMA = "dataset string, path string, size bigint, modified_at timestamp"
+
 IngestMode = Literal["auto", "full", "incremental"]
 
 
@@ -63,9 +67,11 @@ def new_update_files(spark: SparkSession, lake: Lake, cfg: DatasetConfig) -> Dat
     return not_yet_ingested(list_files(spark, path), known)
 
 
-def _register(spark: SparkSession, lake: Lake, cfg: DatasetConfig, listing: DataFrame) -> None:
-    rows = listing.select(F.lit(cfg.name).alias("dataset"), "path", "size", "modified_at")
-    write_table(rows.coalesce(1), lake.ingested_files, mode="append")
+def _register(spark: SparkSession, lake: Lake, cfg: DatasetConfig, files: list) -> None:
+    """Note loaded files.  Their names were needed to build the scan, so the rows are at hand."""
+    rows = spark.createDataFrame([(cfg.name, *f) for f in files], REGISTER_SCHEMA).coalesce(1)
+    with OPS_WRITE:
+        write_table(rows, lake.ingested_files, mode="append")
 
 
 def ingest_dataset(
@@ -88,14 +94,14 @@ def ingest_dataset(
         resolved = resolve_mode(spark, lake, cfg, mode)
         incremental = resolved == "incremental"
         if incremental:
-            listing = new_update_files(spark, lake, cfg)
-            fresh = [r["path"] for r in listing.select("path").toLocalIterator()]
-            if not fresh:
+            files = new_update_files(spark, lake, cfg).collect()
+            if not files:
                 run.loaded(0)
                 return 0
-            raw = _read(spark, cfg, fresh)
+            raw = _read(spark, cfg, [f["path"] for f in files])
         else:
-            listing = list_files(spark, update_path(spark, lake, cfg)) if update_path(spark, lake, cfg) else None
+            update = update_path(spark, lake, cfg)
+            files = list_files(spark, update).collect() if update else []
             raw = read_raw(spark, lake, cfg)
 
         checked = run_schema_checks(raw, cfg.bronze.validation, name)
@@ -119,8 +125,8 @@ def ingest_dataset(
             mode="append" if incremental else "overwrite",
             cluster=False,
         )
-        if listing is not None:
-            _register(spark, lake, cfg, listing)
+        if files:
+            _register(spark, lake, cfg, files)
         rows = counted.get["rows"]
         run.loaded(rows)
         return rows
@@ -135,4 +141,6 @@ def ingest_all(
     config_dir: Path | str = DEFAULT_DIRECTORY,
 ) -> dict[str, int]:
     names = list(datasets) if datasets is not None else list_datasets(config_dir)
-    return {n: ingest_dataset(spark, lake, n, mode=mode, config_dir=config_dir) for n in names}
+    return side_by_side(
+        spark, {n: lambda n=n: ingest_dataset(spark, lake, n, mode=mode, config_dir=config_dir) for n in names}
+    )

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from strata.lake import Lake
 from strata.operators.enrich import EVOLVED_COLUMNS, build_integrated
 from strata.plans import analytics
+from strata.plans.concurrent import side_by_side
 from strata.plans.runs import last_commit, record_run, should_refresh
 from strata.sources.tables import cluster_for_write, read_table, table_exists, write_table
 
@@ -127,10 +128,11 @@ def build_products(
     cube_path = lake.staging("demand_cube")
     write_table(analytics.demand_cube(integrated), cube_path)
     cube = read_table(spark, cube_path, merge_schema=False)
-    written = {}
-    for product in due:
+
+    def refresh(product: Product) -> int:
         with record_run(spark, lake, "gold", product.name, version) as run:
             rows = write_product(product.build(cube), lake.product(product.name), product.partition_by, version)
             run.loaded(rows)
-            written[product.name] = rows
-    return written
+            return rows
+
+    return side_by_side(spark, {p.name: lambda p=p: refresh(p) for p in due})

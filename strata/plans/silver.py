@@ -15,6 +15,7 @@ from strata.lake import Lake
 from strata.operators.rules import ValidationResult, quality_rules, run_row_checks
 from strata.operators.transforms import to_silver
 from strata.operators.upsert import rows_to_insert
+from strata.plans.concurrent import side_by_side
 from strata.plans.runs import record_run
 from strata.sources.tables import cluster_for_write, read_table, table_exists, write_table
 
@@ -39,9 +40,14 @@ def _write_rejects(rejects: DataFrame, lake: Lake, table: str, mode: str) -> int
 def _write_both(
     result: ValidationResult, lake: Lake, table: str, partition_by: Sequence[str], *, rejects_mode: str = "overwrite"
 ) -> tuple[int, int]:
-    rejected = _write_rejects(result.rejects_df, lake, table, rejects_mode)
-    kept = _write_counted(result.good_df, lake.silver(table), partition_by)
-    return kept, rejected
+    written = side_by_side(
+        result.good_df.sparkSession,
+        {
+            "kept": lambda: _write_counted(result.good_df, lake.silver(table), partition_by),
+            "rejected": lambda: _write_rejects(result.rejects_df, lake, table, rejects_mode),
+        },
+    )
+    return written["kept"], written["rejected"]
 
 
 def promote_dataset(
@@ -76,7 +82,7 @@ def promote_all(
     config_dir: Path | str = DEFAULT_DIRECTORY,
 ) -> dict[str, tuple[int, int]]:
     names = list(datasets) if datasets is not None else list_datasets(config_dir)
-    return {n: promote_dataset(spark, lake, n, config_dir=config_dir) for n in names}
+    return side_by_side(spark, {n: lambda n=n: promote_dataset(spark, lake, n, config_dir=config_dir) for n in names})
 
 
 def promote_frame(

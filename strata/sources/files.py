@@ -6,7 +6,6 @@ from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 from typing import Any
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -76,13 +75,17 @@ def list_files(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     )
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """True when Spark can resolve the path."""
-    try:
-        spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-        return True
-    except AnalysisException:
-        return False
+def path_exists(spark: SparkSession, path: str, *, with_data: bool = False) -> bool:
+    """Ask the path's own file system; with ``with_data`` a directory has to hold more than bookkeeping entries."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not with_data or not fs.exists(target):
+        return fs.exists(target)
+    entries = fs.listStatusIterator(target)
+    while entries.hasNext():
+        if not entries.next().getPath().getName().startswith(("_", ".")):
+            return True
+    return False
 
 
 def discover_files(spark: SparkSession, root: str, keywords: Iterable[str]) -> list[str]:

@@ -7,12 +7,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.functions.names import with_safe_columns
 from strata.functions.types import align_to
+from strata.sources.files import path_exists
 
 
 def read_table(spark: SparkSession, path: str, *, merge_schema: bool = True) -> DataFrame:
@@ -22,11 +22,7 @@ def read_table(spark: SparkSession, path: str, *, merge_schema: bool = True) ->
 
 def table_exists(spark: SparkSession, path: str) -> bool:
     """True when the directory holds a readable table."""
-    try:
-        spark.read.parquet(path)
-        return True
-    except AnalysisException:
-        return False
+    return path_exists(spark, path, with_data=True)
 
 
 def as_view(spark: SparkSession, path: str, name: str) -> DataFrame:
