@@ -2,7 +2,8 @@
 
 The kept row is the smallest by content (the non-key columns in order), which makes the choice independent of
 row order.  ``first_per_key`` filters a row number down to one, which Spark turns into a group limit on the map
-side, so each task ships at most one row per key.  ``repeats_per_key`` needs the other rows, so it first narrows
+side, so each task ships at most one row per key.  ``first_given_repeated`` does without even that shuffle once the
+few repeated keys have been written out.  ``repeats_per_key`` needs the other rows, so it first narrows
 to the keys that repeat and then ranks in two steps, inside a salt and across salts, so that no task ever
 receives all rows of a hot key.
 """
@@ -42,11 +43,38 @@ def null_safe_match(left: DataFrame, right: DataFrame, keys: Sequence[str], pref
     return reduce(Column.__and__, [left[k].eqNullSafe(right[f"{prefix}{k}"]) for k in keys])
 
 
-def repeats_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column | str] = ()) -> DataFrame:
+def _prefixed(repeated: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return repeated.select(*[F.col(f"`{k}`").alias(f"_k_{k}") for k in keys])
+
+
+def first_given_repeated(
+    df: DataFrame,
+    keys: Sequence[str],
+    repeated: DataFrame,
+    cluster_by: Sequence[str] = (),
+    order_by: Sequence[Column | str] = (),
+) -> DataFrame:
+    """``first_per_key`` when the repeated keys are at hand and few: the wide rows are not shuffled.
+
+    Rows with a key of their own pass straight from the scan; only the rows of repeated keys are ranked.
+    """
+    known = F.broadcast(_prefixed(repeated, keys))
+    match = null_safe_match(df, known, keys, "_k_")
+    single = df.join(known, match, "left_anti")
+    ranked = first_per_key(df.join(known, match, "left_semi"), keys, order_by)
+    return single.unionByName(ranked.hint("rebalance", *cluster_by) if cluster_by else ranked)
+
+
+def repeats_per_key(
+    df: DataFrame,
+    keys: Sequence[str],
+    order_by: Sequence[Column | str] = (),
+    repeated: DataFrame | None = None,
+) -> DataFrame:
     """Every row that ``first_per_key`` with the same arguments leaves out, copies included."""
     order = _content_order(df, keys, order_by)
     columns = df.columns
-    hot = repeated_keys(df, keys).toDF(*[f"_k_{k}" for k in keys])
+    hot = _prefixed(repeated_keys(df, keys) if repeated is None else repeated, keys)
     # The input partition spreads exact copies, the content spreads the distinct rows of a key.
     rest = [F.col(f"`{c}`") for c in columns if c not in keys]
     salted = df.withColumn("_salt", F.pmod(F.xxhash64(F.spark_partition_id(), *rest), F.lit(SALTS)))

@@ -26,6 +26,14 @@ def auto_broadcast_bytes(df: DataFrame) -> int:
     return int(match[1]) * 1024 ** " kmgt".index(match[2] or " ") if match else 0
 
 
+def fits_broadcast(df: DataFrame, row_limit: int = BROADCAST_ROW_LIMIT) -> bool:
+    """True when the size of the frame is known to allow a broadcast."""
+    estimate = estimated_bytes(df)
+    if estimate is not None and estimate <= auto_broadcast_bytes(df):
+        return True
+    return df.limit(row_limit + 1).count() <= row_limit
+
+
 def lookup_side(df: DataFrame, row_limit: int = BROADCAST_ROW_LIMIT) -> DataFrame:
     """Prepare the right side of a lookup join.
 

@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.functions.types import schema_errors
-from strata.operators.keys import first_per_key, repeats_per_key
+from strata.operators.keys import first_given_repeated, first_per_key, repeated_keys, repeats_per_key
+from strata.operators.lookup import fits_broadcast
 
 REASON = "_reject_reason"
 DUPLICATE_REASON = "duplicate_pk"
@@ -154,19 +155,35 @@ def flag_rows(df: DataFrame, config: Any) -> DataFrame:
     return df.withColumn(REASON, reason_text(violations) if violations else F.lit(""))
 
 
-def run_row_checks(df: DataFrame, config: Any) -> ValidationResult:
+def run_row_checks(
+    df: DataFrame,
+    config: Any,
+    *,
+    stage: Callable[[DataFrame], DataFrame] | None = None,
+    cluster_by: Sequence[str] = (),
+) -> ValidationResult:
     """Apply the row rules, then keep one row per primary key among the rows that passed.
 
     Good rows and rejects together are exactly the input.  The repeated rows are rejected as ``duplicate_pk``;
     which of several equal keys is kept is decided by the row's content, so both outputs agree on it however
     the rows are spread over the cluster.
+
+    ``stage`` lets a job write a small frame out and read it back.  The repeated keys are then found once, for
+    both outputs, and if they prove few the good rows need no shuffle: ``stats["shuffled"]`` tells.
     """
     violations, key = compile_rules(df.schema, config)
     good, rejects = split_rows(df, violations)
+    shuffled = False
     if key:
-        repeats = repeats_per_key(good, key).withColumn(REASON, F.lit(DUPLICATE_REASON))
-        good, rejects = first_per_key(good, key), rejects.unionByName(repeats)
-    return ValidationResult(good_df=good, rejects_df=rejects)
+        repeated = None if stage is None else stage(repeated_keys(good, key))
+        repeats = repeats_per_key(good, key, repeated=repeated).withColumn(REASON, F.lit(DUPLICATE_REASON))
+        shuffled = repeated is None or not fits_broadcast(repeated)
+        if shuffled:
+            good = first_per_key(good, key)
+        else:
+            good = first_given_repeated(good, key, repeated, cluster_by)
+        rejects = rejects.unionByName(repeats)
+    return ValidationResult(good_df=good, rejects_df=rejects, stats={"shuffled": shuffled})
 
 
 def run_schema_checks(df: DataFrame, config: Any, dataset: str = "") -> ValidationResult:

@@ -14,7 +14,7 @@ from strata.lake import Lake
 from strata.operators.rules import run_schema_checks
 from strata.operators.transforms import prepare
 from strata.plans.concurrent import side_by_side
-from strata.plans.runs import OPS_WRITE, record_run
+from strata.plans.runs import OPS_WRITE, Run, record_run
 from strata.sources.files import (
     apply_filter, list_files, not_yet_ingested, path_exists, read_files, union_update,
 )
@@ -61,19 +61,47 @@ def new_update_files(spark: SparkSession, lake: Lake, cfg: DatasetConfig) -> Dat
     path = update_path(spark, lake, cfg)
     if path is None:
         raise FileNotFoundError(f"No update file present for dataset: {cfg.name}")
-    known = None
-    if table_exists(spark, lake.ingested_files):
-        known = read_table(spark, lake.ingested_files).filter(F.col("dataset") == cfg.name)
-    return not_yet_ingested(list_files(spark, path), known)
+    return not_yet_ingested(list_files(spark, path), registered_files(spark, lake, cfg))
 
 
-def _register(spark: SparkSession, lake: Lake, cfg: DatasetConfig, files: list) -> None:
+def register_files(spark: SparkSession, lake: Lake, cfg: DatasetConfig, files: list) -> None:
     """Note loaded files.  Their names were needed to build the scan, so the rows are at hand."""
     rows = spark.createDataFrame([(cfg.name, *f) for f in files], REGISTER_SCHEMA).coalesce(1)
     with OPS_WRITE:
         write_table(rows, lake.ingested_files, mode="append")
 
 
+def registered_files(spark: SparkSession, lake: Lake, cfg: DatasetConfig) -> DataFrame | None:
+    if not table_exists(spark, lake.ingested_files):
+        return None
+    return read_table(spark, lake.ingested_files).filter(F.col("dataset") == cfg.name)
+
+
+def load_frame(spark: SparkSession, lake: Lake, cfg: DatasetConfig, raw: DataFrame, run: Run, *, append: bool) -> int:
+    """Check the schema, filter, prepare and write one frame of raw rows; returns the rows written."""
+    target = lake.bronze(cfg.bronze.table)
+    checked = run_schema_checks(raw, cfg.bronze.validation, cfg.name)
+    if not checked.ok:
+        run.set_counts(
+            processed=0, inserted=0, rejected=0, validation_failures=len(checked.errors), validation_ok=False
+        )
+        run.error_message = "; ".join(checked.errors)
+        raise ValueError(f"Schema validation failed for {cfg.name}: {list(checked.errors)}")
+    framed = prepare(apply_filter(raw, cfg.bronze.filter), cfg.bronze.prep, cfg.bronze.options)
+    schema = read_table(spark, target).schema if append and table_exists(spark, target) else None
+    framed = cluster_for_write(prepare_bronze(framed, schema), cfg.bronze.partition_by)
+    # Counted in the writing stage itself, above the last shuffle, so a retried task is not counted twice.
+    counted = Observation()
+    write_table(
+        framed.observe(counted, F.count(F.lit(1)).alias("rows")),
+        target,
+        cfg.bronze.partition_by,
+        mode="append" if append else "overwrite",
+        cluster=False,
+    )
+    return counted.get["rows"]
+
+
 def ingest_dataset(
     spark: SparkSession,
     lake: Lake,
@@ -89,7 +117,6 @@ def ingest_dataset(
     nothing, and an update file that was regenerated in place counts as new.
     """
     cfg = load_dataset(name, config_dir)
-    target = lake.bronze(cfg.bronze.table)
     with record_run(spark, lake, "bronze", name, cfg.schema_version) as run:
         resolved = resolve_mode(spark, lake, cfg, mode)
         incremental = resolved == "incremental"
@@ -104,30 +131,9 @@ def ingest_dataset(
             files = list_files(spark, update).collect() if update else []
             raw = read_raw(spark, lake, cfg)
 
-        checked = run_schema_checks(raw, cfg.bronze.validation, name)
-        if not checked.ok:
-            run.set_counts(
-                processed=0, inserted=0, rejected=0, validation_failures=len(checked.errors), validation_ok=False
-            )
-            run.error_message = "; ".join(checked.errors)
-            raise ValueError(f"Schema validation failed for {name}: {list(checked.errors)}")
-
-        filtered = apply_filter(raw, cfg.bronze.filter)
-        framed = prepare(filtered, cfg.bronze.prep, cfg.bronze.options)
-        schema = read_table(spark, target).schema if incremental and table_exists(spark, target) else None
-        framed = cluster_for_write(prepare_bronze(framed, schema), cfg.bronze.partition_by)
-        # Counted in the writing stage itself, above the last shuffle, so a retried task is not counted twice.
-        counted = Observation()
-        write_table(
-            framed.observe(counted, F.count(F.lit(1)).alias("rows")),
-            target,
-            cfg.bronze.partition_by,
-            mode="append" if incremental else "overwrite",
-            cluster=False,
-        )
+        rows = load_frame(spark, lake, cfg, raw, run, append=incremental)
         if files:
-            _register(spark, lake, cfg, files)
-        rows = counted.get["rows"]
+            register_files(spark, lake, cfg, files)
         run.loaded(rows)
         return rows
 

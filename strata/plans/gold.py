@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from strata.lake import Lake
-from strata.operators.enrich import EVOLVED_COLUMNS, build_integrated
+from strata.operators.enrich import EVOLVED_COLUMNS, build_integrated, context_tables
+from strata.operators.lookup import fits_broadcast
 from strata.plans import analytics
 from strata.plans.concurrent import side_by_side
 from strata.plans.runs import last_commit, record_run, should_refresh
@@ -37,9 +38,9 @@ PRODUCTS = (
 )
 
 
-def _count_and_write(df: DataFrame, path: str, partition_by: Iterable[str] = ()) -> int:
+def _count_and_write(df: DataFrame, path: str, partition_by: Iterable[str] = (), *, cluster: bool = True) -> int:
     counted = Observation()
-    framed = cluster_for_write(df, list(partition_by)).observe(counted, F.count(F.lit(1)).alias("rows"))
+    framed = (cluster_for_write(df, list(partition_by)) if cluster else df).observe(counted, F.count(F.lit(1)).alias("rows"))
     write_table(framed, path, list(partition_by), cluster=False)
     return counted.get["rows"]
 
@@ -49,13 +50,18 @@ def integrate(
 ) -> DataFrame:
     """Build the integrated table by date and, from that written table, the layout by borough.
 
+    When all context tables are small enough to broadcast, trips go from the silver scan to the gold files without
+    a shuffle: silver has the same date partitions, so the files stay as few as they were.
+
     The second layout reads the first one back: a written table is cheaper to rely on than a cached wide frame,
     and losing executors between the two writes costs nothing.
     """
     path = lake.gold(INTEGRATED)
     with record_run(spark, lake, "gold", INTEGRATED) as run:
         silver = [read_table(spark, lake.silver(t)) for t in ("taxi_trips", "weather", "air_quality", "taxi_zones")]
-        rows = _count_and_write(build_integrated(*silver, keep_extra=keep_extra), path, ("pickup_date",))
+        shuffled = not all(fits_broadcast(t) for t in context_tables(*silver[1:], keep_extra))
+        wide = build_integrated(*silver, keep_extra=keep_extra)
+        rows = _count_and_write(wide, path, ("pickup_date",), cluster=shuffled)
         if write_borough_layout:
             by_date = read_table(spark, path, merge_schema=False)
             write_table(by_date, lake.gold(INTEGRATED_BY_BOROUGH), ("pickup_borough",))

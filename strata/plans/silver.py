@@ -20,10 +20,12 @@ from strata.plans.runs import record_run
 from strata.sources.tables import cluster_for_write, read_table, table_exists, write_table
 
 
-def _write_counted(df: DataFrame, path: str, partition_by: Sequence[str] = (), *, mode: str = "overwrite") -> int:
+def _write_counted(
+    df: DataFrame, path: str, partition_by: Sequence[str] = (), *, mode: str = "overwrite", cluster: bool = True
+) -> int:
     """Write and count in one pass; the count sits above the last shuffle."""
     counted = Observation()
-    framed = cluster_for_write(df, partition_by).observe(counted, F.count(F.lit(1)).alias("rows"))
+    framed = (cluster_for_write(df, partition_by) if cluster else df).observe(counted, F.count(F.lit(1)).alias("rows"))
     write_table(framed, path, partition_by, mode=mode, cluster=False)
     return counted.get["rows"]
 
@@ -38,12 +40,18 @@ def _write_rejects(rejects: DataFrame, lake: Lake, table: str, mode: str) -> int
 
 
 def _write_both(
-    result: ValidationResult, lake: Lake, table: str, partition_by: Sequence[str], *, rejects_mode: str = "overwrite"
+    result: ValidationResult,
+    lake: Lake,
+    table: str,
+    partition_by: Sequence[str],
+    *,
+    rejects_mode: str = "overwrite",
+    cluster: bool = True,
 ) -> tuple[int, int]:
     written = side_by_side(
         result.good_df.sparkSession,
         {
-            "kept": lambda: _write_counted(result.good_df, lake.silver(table), partition_by),
+            "kept": lambda: _write_counted(result.good_df, lake.silver(table), partition_by, cluster=cluster),
             "rejected": lambda: _write_rejects(result.rejects_df, lake, table, rejects_mode),
         },
     )
@@ -57,13 +65,21 @@ def promote_dataset(
 
     The two outputs are two plans over the bronze scan.  Each is filtered at the scan, which is cheaper at scale
     than caching or staging the wide flagged frame between them, and both agree row by row because the choice
-    among equal keys depends on content alone.
+    among equal keys depends on content alone.  Good rows that come straight from a bronze table with the same
+    partitions are already together by partition and are not shuffled again before the write.
     """
     cfg = load_dataset(name, config_dir)
     with record_run(spark, lake, "silver", name, cfg.schema_version) as run:
         bronze = read_table(spark, lake.bronze(cfg.bronze.table))
-        checked = run_row_checks(to_silver(bronze, name), cfg.silver.validation)
-        kept, rejected = _write_both(checked, lake, cfg.silver.table, cfg.silver.partition_by)
+        table, partition_by = cfg.silver.table, cfg.silver.partition_by
+
+        def stage(repeated: DataFrame) -> DataFrame:
+            path = write_table(repeated, lake.staging(f"{table}_repeated_keys"))
+            return read_table(spark, path, merge_schema=False)
+
+        checked = run_row_checks(to_silver(bronze, name), cfg.silver.validation, stage=stage, cluster_by=partition_by)
+        cluster = checked.stats["shuffled"] or not set(partition_by) <= set(cfg.bronze.partition_by)
+        kept, rejected = _write_both(checked, lake, table, partition_by, cluster=cluster)
         run.set_counts(
             processed=kept + rejected,
             inserted=kept,
