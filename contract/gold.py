@@ -282,10 +282,10 @@ def distinct_hours_by_type(spark, sf):
     )
 
 
-@query("shipping_weekday_pivot", f"""
+@query("quantity_by_status_pivot", f"""
 SELECT l_returnflag, MAX(CASE WHEN l_linestatus = 'F' THEN m END) AS final, MAX(CASE WHEN l_linestatus = 'O' THEN m END) AS open
 FROM (SELECT l_returnflag, l_linestatus, {rounded('AVG(l_quantity)')} AS m FROM lineitem GROUP BY 1, 2) GROUP BY 1""")
-def shipping_weekday_pivot(spark, sf):
+def quantity_by_status_pivot(spark, sf):
     lines = s.table(spark, sf, "lineitem")
     pivoted = lines.groupBy("l_returnflag").pivot("l_linestatus", ["F", "O"])
     return pivoted.agg(analytics.stable_round(F.avg("l_quantity"))).toDF("l_returnflag", "final", "open")

@@ -56,6 +56,14 @@ def read_raw(spark: SparkSession, lake: Lake, cfg: DatasetConfig) -> DataFrame:
     return union_update(base, _read(spark, cfg, update), expected)
 
 
+def read_update(spark: SparkSession, lake: Lake, cfg: DatasetConfig) -> DataFrame:
+    """Update rows only."""
+    path = update_path(spark, lake, cfg)
+    if path is None:
+        raise FileNotFoundError(f"No update file present for dataset: {cfg.name}")
+    return _read(spark, cfg, path)
+
+
 def new_update_files(spark: SparkSession, lake: Lake, cfg: DatasetConfig) -> DataFrame:
     """Listing of the update files that the register does not hold in this version."""
     path = update_path(spark, lake, cfg)

@@ -10,13 +10,16 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from strata.config import DEFAULT_DIRECTORY, list_datasets, load_dataset
+from strata.functions.names import with_safe_columns
 from strata.functions.types import align_to
 from strata.lake import Lake
 from strata.operators.rules import ValidationResult, quality_rules, run_row_checks
-from strata.operators.transforms import to_silver
+from strata.operators.transforms import prepare, to_silver
 from strata.operators.upsert import rows_to_insert
+from strata.plans.bronze import read_update
 from strata.plans.concurrent import side_by_side
 from strata.plans.runs import record_run
+from strata.sources.files import apply_filter
 from strata.sources.tables import cluster_for_write, read_table, table_exists, write_table
 
 
@@ -109,23 +112,23 @@ def promote_frame(
     return _write_both(run_row_checks(df, rules), lake, table, partition_by, rejects_mode="append")
 
 
-def merge_to_silver(
-    spark: SparkSession,
-    lake: Lake,
+def merge_frame(
     update: DataFrame,
+    lake: Lake,
     table: str,
     primary_key: Sequence[str],
     partition_by: Sequence[str] = (),
+    rules: Any = (),
     *,
     prune_by: str | None = None,
     null_safe: bool = False,
-    **quality: Any,
 ) -> tuple[int, int]:
     """Insert the good update rows whose key the silver table lacks; returns (inserted, rejected).
 
     Rejects are appended and repeated keys inside the update are dropped.  New columns extend the table.
     """
-    checked = run_row_checks(update, quality_rules(**quality))
+    spark = update.sparkSession
+    checked = run_row_checks(update, rules)
     rejected = 0
     if not checked.rejects_df.isEmpty():
         rejected = _write_rejects(checked.rejects_df, lake, table, "append")
@@ -135,3 +138,45 @@ def merge_to_silver(
     fresh = rows_to_insert(source, target, key, null_safe=null_safe, prune_by=prune_by)
     inserted = _write_counted(fresh, lake.silver(table), partition_by, mode="append")
     return inserted, rejected
+
+
+def merge_to_silver(
+    update: DataFrame,
+    lake: Lake,
+    table: str,
+    primary_key: Sequence[str],
+    partition_by: Sequence[str] = (),
+    *,
+    prune_by: str | None = None,
+    null_safe: bool = False,
+    **quality: Any,
+) -> tuple[int, int]:
+    """``merge_frame`` with the keyword form of the quality rules."""
+    rules = quality_rules(**quality)
+    return merge_frame(update, lake, table, primary_key, partition_by, rules, prune_by=prune_by, null_safe=null_safe)
+
+
+def merge_dataset_update(
+    spark: SparkSession, lake: Lake, name: str, *, config_dir: Path | str = DEFAULT_DIRECTORY
+) -> tuple[int, int]:
+    """Bring a dataset's update file straight into silver; returns (inserted, rejected).
+
+    The work follows the size of the update: of the target only the key columns are read, and only the partitions
+    between the update's first and last day where the configuration says that the key determines the partition.
+    """
+    cfg = load_dataset(name, config_dir)
+    with record_run(spark, lake, "silver", name, cfg.schema_version) as run:
+        raw = apply_filter(read_update(spark, lake, cfg), cfg.bronze.filter)
+        prepared = prepare(raw, cfg.bronze.prep, cfg.bronze.options)
+        update = to_silver(with_safe_columns(prepared), name)
+        rules = [r for r in cfg.silver.validation if r.get("rule") != "primary_key"]
+        determined = cfg.silver.options.get("key_determines_partition") and cfg.silver.partition_by
+        inserted, rejected = merge_frame(
+            update, lake, cfg.silver.table, cfg.silver.primary_key, cfg.silver.partition_by, rules,
+            prune_by=cfg.silver.partition_by[0] if determined else None,
+        )
+        run.set_counts(
+            processed=inserted + rejected, inserted=inserted, rejected=rejected, validation_failures=rejected,
+            validation_ok=rejected == 0,
+        )
+        return inserted, rejected
