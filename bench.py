@@ -94,12 +94,12 @@ def main() -> None:
             ("average_duration_per_day", analytics.average_duration_per_day),
             ("average_fare_per_borough", analytics.average_fare_per_borough),
         ):
-            seconds[f"{name}_{layout}"] = query_seconds(lambda: build(read_table(spark, path, merge_schema=False)))  # noqa: B023
+            seconds[f"{name}_{layout}"] = query_seconds(lambda: build(read_table(spark, path)))  # noqa: B023
     for name, build in analytics.QUERIES.items():
-        seconds[name] = query_seconds(lambda: build(read_table(spark, by_date, merge_schema=False)))  # noqa: B023
+        seconds[name] = query_seconds(lambda: build(read_table(spark, by_date)))  # noqa: B023
     for product in gold.PRODUCTS:
         seconds[f"read_{product.name}"] = query_seconds(
-            lambda: read_table(spark, lake.product(product.name), merge_schema=False)  # noqa: B023
+            lambda: read_table(spark, lake.product(product.name))  # noqa: B023
         )
 
     checked = run_row_checks(quality.order_lines(spark, SF_DIR), quality.RULES)
@@ -113,7 +113,7 @@ def main() -> None:
     seconds["bronze_incremental"] = once(
         lambda: ingest_all(spark, lake, evaluation.INCREMENTAL_DATASETS, mode="incremental")
     )
-    integrated = read_table(spark, by_date, merge_schema=False)
+    integrated = read_table(spark, by_date)
     seconds["model_fit"] = once(lambda: training.train(integrated.filter(F.col("fare_amount") > 0)))
 
     spark.stop()

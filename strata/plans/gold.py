@@ -63,10 +63,10 @@ def integrate(
         wide = build_integrated(*silver, keep_extra=keep_extra)
         rows = _count_and_write(wide, path, ("pickup_date",), cluster=shuffled)
         if write_borough_layout:
-            by_date = read_table(spark, path, merge_schema=False)
+            by_date = read_table(spark, path)
             write_table(by_date, lake.gold(INTEGRATED_BY_BOROUGH), ("pickup_borough",))
         run.loaded(rows)
-    return read_table(spark, path, merge_schema=False)
+    return read_table(spark, path)
 
 
 def schema_version(integrated: DataFrame) -> str:
@@ -129,11 +129,11 @@ def build_products(
     due = products if force else stale_products(spark, lake, products)
     if not due:
         return {}
-    integrated = read_table(spark, lake.gold(INTEGRATED), merge_schema=False)
+    integrated = read_table(spark, lake.gold(INTEGRATED))
     version = schema_version(integrated)
     cube_path = lake.staging("demand_cube")
     write_table(analytics.demand_cube(integrated), cube_path)
-    cube = read_table(spark, cube_path, merge_schema=False)
+    cube = read_table(spark, cube_path)
 
     def refresh(product: Product) -> int:
         with record_run(spark, lake, "gold", product.name, version) as run:

@@ -78,7 +78,7 @@ def promote_dataset(
 
         def stage(repeated: DataFrame) -> DataFrame:
             path = write_table(repeated, lake.staging(f"{table}_repeated_keys"))
-            return read_table(spark, path, merge_schema=False)
+            return read_table(spark, path)
 
         checked = run_row_checks(to_silver(bronze, name), cfg.silver.validation, stage=stage, cluster_by=partition_by)
         cluster = checked.stats["shuffled"] or not set(partition_by) <= set(cfg.bronze.partition_by)

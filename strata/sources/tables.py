@@ -5,19 +5,55 @@ One writer per table at a time is assumed; Spark's own commit protocol covers lo
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strata.functions.names import with_safe_columns
 from strata.functions.types import align_to
 from strata.sources.files import path_exists
 
 
-def read_table(spark: SparkSession, path: str, *, merge_schema: bool = True) -> DataFrame:
-    """A table as it stands.  Merging schemas reads every footer, so callers that know the files agree turn it off."""
-    return spark.read.option("mergeSchema", merge_schema).parquet(path)
+# Name of the note beside the data files; Spark skips names that start with an underscore.
+SCHEMA_NOTE = "_schema.json"
+
+
+def noted_schema(spark: SparkSession, path: str) -> T.StructType | None:
+    """The schema noted by the last write, if there is one."""
+    note = spark._jvm.org.apache.hadoop.fs.Path(path, SCHEMA_NOTE)
+    fs = note.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(note):
+        return None
+    stream = fs.open(note)
+    try:
+        text = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+    return T.StructType.fromJson(json.loads(text))
+
+
+def note_schema(spark: SparkSession, path: str, schema: T.StructType) -> None:
+    note = spark._jvm.org.apache.hadoop.fs.Path(path, SCHEMA_NOTE)
+    stream = note.getFileSystem(spark._jsc.hadoopConfiguration()).create(note, True)
+    try:
+        stream.write(bytearray(schema.json().encode()))
+    finally:
+        stream.close()
+
+
+def read_table(spark: SparkSession, path: str, *, merge_schema: bool = False) -> DataFrame:
+    """A table as it stands.
+
+    The noted schema is used if there is one, so that a table of a million files is opened without reading their
+    footers.  Without a note, or with ``merge_schema``, the schemas of all files are merged.
+    """
+    schema = None if merge_schema else noted_schema(spark, path)
+    if schema is not None:
+        return spark.read.schema(schema).parquet(path)
+    return spark.read.option("mergeSchema", True).parquet(path)
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
@@ -66,7 +102,21 @@ def write_table(
         writer = writer.partitionBy(*parts)
     if dynamic:
         writer = writer.option("partitionOverwriteMode", "dynamic")
-    writer.parquet(path)
+    spark = df.sparkSession
+    if mode != "append" and not dynamic:
+        writer.parquet(path)
+        note_schema(spark, path, df.schema)
+        return path
+    # The note goes first: if the write then fails, a column without values does no harm.
+    if table_exists(spark, path):
+        known = noted_schema(spark, path) or read_table(spark, path).schema
+        added = [f for f in df.schema.fields if f.name not in known.names]
+        if added:
+            note_schema(spark, path, T.StructType([*known.fields, *added]))
+        writer.parquet(path)
+    else:
+        writer.parquet(path)
+        note_schema(spark, path, df.schema)
     return path
 
 

@@ -121,6 +121,20 @@ def test_dynamic_partition_overwrite(spark, tmp_path):
     assert sorted(r["id"] for r in spark.read.parquet(path).collect()) == [0, 2, 3, 5, 100, 100]
 
 
+def test_noted_schema_follows_the_table(spark, tmp_path):
+    path = str(tmp_path / "t")
+    tables.write_table(spark.range(2).select("id", F.lit("7").alias("p")), path, ["p"])
+    assert read(spark, path).dtypes == [("id", "bigint"), ("p", "string")]
+    tables.write_table(spark.range(2, 4).select("id", F.lit("x").alias("note"), F.lit("8").alias("p")), path, ["p"], mode="append")
+    assert read(spark, path).columns == ["id", "note", "p"] and read(spark, path).count() == 4
+    merged = tables.read_table(spark, path, merge_schema=True)
+    assert same_rows(read(spark, path), merged.withColumn("p", F.col("p").cast("string")))
+    tables.write_table(spark.range(1), path)
+    assert read(spark, path).columns == ["id"]
+    spark.range(3).write.parquet(str(tmp_path / "plain"))
+    assert read(spark, str(tmp_path / "plain")).count() == 3
+
+
 def test_schema_failure_is_logged(spark, lake, tmp_path):
     other = Lake(str(tmp_path))
     raw_lake.write_csv(other.raw("weather/weather.csv"), ["year", "month"], [(2024, 1)])
