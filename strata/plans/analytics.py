@@ -62,6 +62,14 @@ MEASURES = (
 )
 
 
+def _gathered(df: DataFrame) -> DataFrame:
+    """One task for a folded frame with at most one row per hour of the calendar, however many trips there are.
+
+    The steps that follow (regrouping, ranking, ordering) then need no further exchange.
+    """
+    return df.repartition(1)
+
+
 def _small_sort(df: DataFrame, *order) -> DataFrame:
     """Order a result whose size is bounded by the calendar or by fixed bins: one task, no sampling pass."""
     return df.repartition(1).sortWithinPartitions(*order)
@@ -203,7 +211,7 @@ def zone_weather_sensitivity(df: DataFrame, min_trips_per_hour: float = MIN_TRIP
 def hourly_by_weekday(df: DataFrame) -> DataFrame:
     """Trips, active days and trips per active day by weekday and hour."""
     seen = df.filter(F.col("pickup_date").isNotNull() & F.col("pickup_hour").isNotNull())
-    daily = fold(seen, ["pickup_date", "pickup_hour"])
+    daily = _gathered(fold(seen, ["pickup_date", "pickup_hour"]))
     return (
         daily.groupBy(F.dayofweek("pickup_date").alias("dow"), "pickup_hour")
         .agg(F.sum("trips").alias("trip_count"), F.count(F.lit(1)).alias("active_days"))
@@ -216,7 +224,7 @@ def peak_hours_by_weekday(df: DataFrame) -> DataFrame:
     order = Window.partitionBy("dow").orderBy(F.desc("avg_trips"), F.desc("trip_count"), F.asc("pickup_hour"))
     top = hourly_by_weekday(df).withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") == 1)
     names = F.array(*[F.lit(d) for d in DAY_NAMES])
-    return _small_sort(top, (F.col("dow") + 5) % 7).select(
+    return top.sortWithinPartitions((F.col("dow") + 5) % 7).select(
         F.element_at(names, F.col("dow")).alias("day_of_week"),
         F.col("pickup_hour").alias("peak_hour"),
         "trip_count", "active_days", "avg_trips",
@@ -225,13 +233,13 @@ def peak_hours_by_weekday(df: DataFrame) -> DataFrame:
 
 def monthly_trends(df: DataFrame) -> DataFrame:
     """Average daily trips per month against the month before."""
-    daily = fold(df.filter(F.col("pickup_date").isNotNull()), ["pickup_date"])
+    daily = _gathered(fold(df.filter(F.col("pickup_date").isNotNull()), ["pickup_date"]))
     monthly = (
         daily.groupBy(month_start("pickup_date").alias("trip_month"))
         .agg(F.sum("trips").alias("total_trips"), F.count(F.lit(1)).alias("active_days"))
         .withColumn("avg_daily_trips", _mean("total_trips", "active_days"))
     )
-    # One row per month is left here, so the unpartitioned window stays tiny at any data size.
+    # One row per month is left here, so the unpartitioned window stays tiny.
     previous = F.lag("avg_daily_trips").over(Window.orderBy("trip_month"))
     change = F.try_divide(F.lit(100.0) * (F.col("avg_daily_trips") - F.col("prev_month_avg_daily")), "prev_month_avg_daily")
     return (
