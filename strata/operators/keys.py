@@ -16,6 +16,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from strata.operators.lookup import lookup_side
+
 # Pieces a hot key is cut into; at most this many leaders meet in one task.
 SALTS = 16_384
 
@@ -58,7 +60,7 @@ def first_given_repeated(
 
     Rows with a key of their own pass straight from the scan; only the rows of repeated keys are ranked.
     """
-    known = F.broadcast(_prefixed(repeated, keys))
+    known = lookup_side(_prefixed(repeated, keys))
     match = null_safe_match(df, known, keys, "_k_")
     single = df.join(known, match, "left_anti")
     ranked = first_per_key(df.join(known, match, "left_semi"), keys, order_by)
