@@ -59,7 +59,7 @@ def write_raw(spark: SparkSession, lake: Lake) -> None:
         (standins.raw_air_quality(spark, SF_DIR).drop("aqi"), "air_quality/hourly_88101_2024.csv"),
         (standins.raw_zones(spark, SF_DIR), "taxi_zones"),
     ):
-        frame.coalesce(1).write.option("header", True).csv(lake.raw(path))
+        frame.write.option("header", True).csv(lake.raw(path))
 
 
 def once(action) -> float:
