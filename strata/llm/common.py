@@ -46,3 +46,16 @@ def read_table(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
+
+
+def let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once per row, however often the body uses it."""
+    return F.transform(F.array(value), body)[0]
+
+
+def fresh(name: str, taken: list[str]) -> str:
+    """A column name that is not taken, whatever columns a table carries."""
+    lower = {t.lower() for t in taken}
+    while name.lower() in lower:
+        name += "_"
+    return name

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import common, huffman, packing
+from strata.llm import common, huffman, packing, quality
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -34,3 +34,8 @@ def token_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = common.scratch_path(spark, "huffman")
     huffman.write_ids(common.read_table(spark, sf_dir, "documents"), path)
     return huffman.read_ids(spark, path)
+
+
+@query("op10_quality_rules")
+def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.verdicts(common.read_table(spark, sf_dir, "documents"))
