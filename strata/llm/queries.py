@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import common, huffman, packing, quality
+from strata.llm import common, contamination, huffman, packing, quality
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -39,3 +39,9 @@ def token_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_quality_rules")
 def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.verdicts(common.read_table(spark, sf_dir, "documents"))
+
+
+@query("op7_benchmark_decontamination")
+def benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, benchmark = (common.read_table(spark, sf_dir, t) for t in ("documents", "benchmark"))
+    return contamination.verdicts(docs, benchmark)
