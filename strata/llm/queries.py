@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import common, contamination, huffman, packing, quality
+from strata.llm import common, contamination, huffman, near_duplicates, packing, quality
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -45,3 +45,9 @@ def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, benchmark = (common.read_table(spark, sf_dir, t) for t in ("documents", "benchmark"))
     return contamination.verdicts(docs, benchmark)
+
+
+@query("op8_ngram_jaccard_join")
+def ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_duplicates.groups(common.read_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "class_id", "n_links", "n_copies")
