@@ -179,11 +179,9 @@ def id_counts(staged: DataFrame) -> dict[int, int]:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, dtype=np.int64)
         for batch in batches:
-            for stored in batch.column(0):
-                part = np.bincount(from_planes(stored.as_py()))
-                size = max(len(total), len(part))
-                total = np.pad(total, (0, size - len(total)))
-                total[: len(part)] += part
+            part = np.bincount(np.concatenate([from_planes(stored) for stored in batch.column(0).to_pylist()]))
+            total = np.pad(total, (0, max(0, len(part) - len(total))))
+            total[: len(part)] += part
         used = np.flatnonzero(total)
         yield pa.record_batch([pa.array(used, pa.int64()), pa.array(total[used], pa.int64())], names=["id", "n"])
 

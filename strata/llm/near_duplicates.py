@@ -71,9 +71,10 @@ class Grams:
     def grow(self, size: int) -> None:
         if len(self.powers) < size:
             size = max(size, 2 * len(self.powers))
-            turn = np.uint64(pow(int(BASE), -1, 1 << 64))
-            self.powers = np.cumprod(np.concatenate([[1], np.full(size - 1, BASE)]).astype(np.uint64), dtype=np.uint64)
-            self.inverse = np.cumprod(np.concatenate([[1], np.full(size - 1, turn)]).astype(np.uint64), dtype=np.uint64)
+            self.powers, self.inverse = (
+                np.cumprod(np.array([1, *[int(step)] * (size - 1)], dtype=np.uint64), dtype=np.uint64)
+                for step in (BASE, pow(int(BASE), -1, 1 << 64))
+            )
 
     def of(self, text: str | None) -> np.ndarray:
         """Sorted distinct hashes; none for a text without words."""
