@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import common, contamination, huffman, near_duplicates, packing, quality
+from strata.llm import common, contamination, huffman, near_duplicates, packing, quality, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -51,3 +51,9 @@ def benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates.groups(common.read_table(spark, sf_dir, "documents"))
     return found.select("doc_id", "class_id", "n_links", "n_copies")
+
+
+@query("op1_toxicity")
+def toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = (common.read_table(spark, sf_dir, t) for t in ("documents", "labels"))
+    return toxicity.scores(docs, labels)
