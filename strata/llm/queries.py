@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import common, contamination, huffman, near_duplicates, packing, quality, toxicity
+from strata.llm import common, contamination, huffman, near_duplicates, packing, personal_data, quality, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -57,3 +57,8 @@ def ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = (common.read_table(spark, sf_dir, t) for t in ("documents", "labels"))
     return toxicity.scores(docs, labels)
+
+
+@query("op3_personal_data")
+def personal_data_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data.find(common.read_table(spark, sf_dir, "documents"))
