@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import common, contamination, huffman, near_duplicates, packing, personal_data, quality, toxicity
+from strata.llm import common, contamination, huffman, main_text, near_duplicates, packing, personal_data, quality, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -62,3 +62,8 @@ def toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_personal_data")
 def personal_data_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data.find(common.read_table(spark, sf_dir, "documents"))
+
+
+@query("op5_html_extraction")
+def html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text.main_texts(common.read_table(spark, sf_dir, "pages"))
