@@ -6,7 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import common, contamination, huffman, main_text, near_duplicates, packing, personal_data, quality, toxicity
+from strata.llm import (
+    common,
+    contamination,
+    huffman,
+    licenses,
+    main_text,
+    near_duplicates,
+    packing,
+    personal_data,
+    quality,
+    toxicity,
+    url_filter,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -67,3 +79,13 @@ def personal_data_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_html_extraction")
 def html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_text.main_texts(common.read_table(spark, sf_dir, "pages"))
+
+
+@query("op4_url_filters", url_filter.oracle_sql())
+def url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.verdicts(common.read_table(spark, sf_dir, "pages"))
+
+
+@query("op6_license_scans")
+def license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(common.read_table(spark, sf_dir, "documents"))
