@@ -26,10 +26,12 @@ MAX_BITS = 20
 CHECKPOINT = 512
 BLOCK_IDS = 1 << 17
 #: Blocks that are decoded together.
-BLOCKS_AT_ONCE = 8
+BLOCKS_AT_ONCE = 24
 
-ENCODED = "segment int, before long, doc_id long, ids binary"
+ENCODED = "segment int, before long, doc_ids array<long>, doc_lengths array<long>, ids binary"
 BLOCKS = "segment int, before long, doc_ids array<long>, doc_lengths array<long>, checkpoints array<long>, bits binary"
+SLAB_NAMES = ["segment", "before", "doc_ids", "doc_lengths", "ids"]
+SLAB_KINDS = [pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary()]
 DECODED = "segment int, doc_id long, before long, n_tokens long, ids_crc32 long"
 
 
@@ -147,7 +149,7 @@ def from_planes(stored: bytes) -> np.ndarray:
 
 
 def encoded(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
-    """(segment, before, doc_id, ids) of ``docs`` (doc_id, text) in ascending doc_id order.
+    """The ids of ``docs`` (doc_id, text) in ascending doc_id order, in rows of whole documents with ``BLOCK_IDS`` ids or more.
 
     Segments are ranges in order; ``before`` counts the ids of the segment's earlier documents.
     """
@@ -155,16 +157,25 @@ def encoded(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
     end = tokens.END_ID.to_bytes(4, "little")
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, segment, held = tokens.encoder(path), TaskContext.get().partitionId(), 0
+        encoder, segment, before = tokens.encoder(path), TaskContext.get().partitionId(), 0
+        doc_ids: list[int | None] = []
+        ids: list[bytes] = []
+        held = 0
+
+        def slab() -> pa.RecordBatch:
+            row = [segment, before, doc_ids, [len(i) // 4 for i in ids], planes(b"".join(ids))]
+            return pa.record_batch([pa.array([v], k) for v, k in zip(row, SLAB_KINDS, strict=True)], names=SLAB_NAMES)
+
         for batch in batches:
-            ids = [encoder.encode(text.as_py()) + end for text in batch.column(1)]
-            ends = held + np.cumsum([len(i) // 4 for i in ids])
-            before, held = np.concatenate([[held], ends])[:-1], int(ends[-1]) if len(ids) else held
-            segments, stored = np.full(len(ids), segment), [planes(i) for i in ids]
-            yield pa.record_batch(
-                [pa.array(segments, pa.int32()), pa.array(before, pa.int64()), batch.column(0), pa.array(stored, pa.binary())],
-                names=["segment", "before", "doc_id", "ids"],
-            )
+            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                doc_ids.append(doc_id)
+                ids.append(encoder.encode(text.as_py()) + end)
+                held += len(ids[-1]) // 4
+                if held >= BLOCK_IDS:
+                    yield slab()
+                    before, held, doc_ids, ids = before + held, 0, [], []
+        if ids:
+            yield slab()
 
     order = [F.col("doc_id"), F.xxhash64("text"), F.col("text")]
     return (
@@ -179,9 +190,10 @@ def id_counts(staged: DataFrame) -> dict[int, int]:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, dtype=np.int64)
         for batch in batches:
-            part = np.bincount(np.concatenate([from_planes(stored) for stored in batch.column(0).to_pylist()]))
-            total = np.pad(total, (0, max(0, len(part) - len(total))))
-            total[: len(part)] += part
+            for stored in batch.column(0):
+                part = np.bincount(from_planes(stored.as_py()))
+                total = np.pad(total, (0, max(0, len(part) - len(total))))
+                total[: len(part)] += part
         used = np.flatnonzero(total)
         yield pa.record_batch([pa.array(used, pa.int64()), pa.array(total[used], pa.int64())], names=["id", "n"])
 
@@ -192,27 +204,13 @@ def id_counts(staged: DataFrame) -> dict[int, int]:
 def block_rows(staged: DataFrame, lengths: np.ndarray) -> DataFrame:
     codes = canonical_codes(lengths)
 
-    def block(segment: int, before: int, docs: list[tuple[int | None, np.ndarray]]) -> pa.RecordBatch:
-        bits, checkpoints = encode_ids(np.concatenate([ids for _, ids in docs]), codes, lengths)
-        row = [segment, before, [d for d, _ in docs], [len(ids) for _, ids in docs], checkpoints.tolist(), bits]
-        kinds = [pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary()]
-        names = ["segment", "before", "doc_ids", "doc_lengths", "checkpoints", "bits"]
-        return pa.record_batch([pa.array([v], k) for v, k in zip(row, kinds, strict=True)], names=names)
-
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        docs: list[tuple[int | None, np.ndarray]] = []
-        at = end = (0, 0)
         for batch in batches:
-            for segment, before, doc_id, stored in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if docs and ((segment, before) != end or end[1] - at[1] >= BLOCK_IDS):
-                    yield block(*at, docs)
-                    docs = []
-                if not docs:
-                    at = (segment, before)
-                docs.append((doc_id, from_planes(stored)))
-                end = (segment, before + len(docs[-1][1]))
-        if docs:
-            yield block(*at, docs)
+            for row in range(batch.num_rows):
+                one = batch.slice(row, 1)
+                bits, checkpoints = encode_ids(from_planes(one.column(4)[0].as_py()), codes, lengths)
+                coded = [pa.array([checkpoints.tolist()], pa.list_(pa.int64())), pa.array([bits], pa.binary())]
+                yield pa.record_batch([*one.columns[:4], *coded], names=[*SLAB_NAMES[:4], "checkpoints", "bits"])
 
     return staged.mapInArrow(write, BLOCKS)
 

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Pages to learn from: composed, and of the table at most; rounds, rate, penalty.
-COMPOSED, SAMPLED, ROUNDS, RATE, PENALTY = 200, 100, 8, 0.1, 1e-3
+COMPOSED, SAMPLED, ROUNDS, RATE, PENALTY = 300, 100, 10, 0.1, 1e-3
 
 #: Elements by how they take part in the text.
 INLINE = frozenset(
@@ -67,10 +67,10 @@ for _kind, _words in NAMED.items():
 
 
 class Node:
-    __slots__ = ("tag", "parent", "names", "blocks", "size", "linked", "marks")
+    __slots__ = ("tag", "parent", "names", "within", "blocks", "size", "linked", "marks")
 
-    def __init__(self, tag: str, parent: int, names: str) -> None:
-        self.tag, self.parent, self.names = tag, parent, names
+    def __init__(self, tag: str, parent: int, names: str, within: bool = False) -> None:
+        self.tag, self.parent, self.names, self.within = tag, parent, names, within or tag in ("article", "main")
         self.blocks, self.size, self.linked, self.marks = 0, 0, 0, 0
 
 
@@ -142,7 +142,7 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
         if tag in VOID:
             continue
         names = " ".join(m.strip("\"'") for m in NAMES.findall(rest)) if rest else ""
-        nodes.append(Node(tag, stack[-1], names))
+        nodes.append(Node(tag, stack[-1], names, nodes[stack[-1]].within))
         if not rest.rstrip().endswith("/"):
             stack.append(len(nodes) - 1)
     add(page[at:])
@@ -151,7 +151,7 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
 
 
 def node_features(node: Node) -> list[str]:
-    out = ["any", "tag " + node.tag]
+    out = ["any", "tag " + node.tag, f"within {node.within}"]
     if node.names:
         out += sorted({f"name {kind}" for word in NAME_WORD.findall(node.names) for kind in WORD_KINDS.get(word.lower(), ())})
     if node.size:
@@ -243,7 +243,7 @@ def composed_page(draw: random.Random) -> str:
     links = lambda n: "<ul>" + "".join(f"<li><a href=/x>{words(1, 3)}</a></li>" for _ in range(n)) + "</ul>"
 
     def part(tag: str, names: str, inside: str, label: int) -> str:
-        named = pick([f' class="{pick(names.split())}"', f' id="{pick(names.split())}"']) if names and draw.random() < 0.8 else ""
+        named = pick([f' class="{pick(names.split())}"', f' id="{pick(names.split())}"']) if names and draw.random() < 0.7 else ""
         return f'<{tag}{named} data-label="{label}">{inside}</{tag}>'
 
     def comments() -> str:
@@ -259,7 +259,7 @@ def composed_page(draw: random.Random) -> str:
         f'<form {pick(["", "class=search", "class=login"])} data-label="0">{words(1, 3)} <input name=q> <p>{sentence(2, 6)}</p></form>',
     ]
     body = [f"<h1>{words(3, 9).capitalize()}</h1>"] * draw.randint(0, 1)
-    for _ in range(draw.randint(1, 9)):
+    for _ in range(pick([1, 2, 3, 5, 9])):
         body.append(pick([
             f"<p>{text(6)}</p>", f"<p>{text(4)}</p>", f"<p><b>{sentence()}<br><p>{text(3)}</p>", f"<p>{sentence(1, 5)}</p>", f"<div>{text(4)}</div>",
             f"<h2>{words(1, 6)}</h2>", f"<h3>{words(1, 6)}</h3>", f"<blockquote><p>{text(2)}</p></blockquote>", "<ul>" + "".join(f"<li>{sentence()}</li>" for _ in range(3)) + "</ul>",

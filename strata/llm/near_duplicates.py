@@ -47,7 +47,7 @@ def band_shape(similarity: float = common.SIMILARITY, recall: float = RECALL, mo
     """(bands, rows): the most rows per band for which the recall at ``similarity`` needs at most ``most`` hashes."""
     best = None
     for rows in range(1, most + 1):
-        bands = math.ceil(math.log(1 - recall) / math.log(1 - similarity**rows))
+        bands = math.ceil(math.log(1 - recall) / math.log1p(-(similarity**rows)))
         if bands * rows <= most:
             best = (bands, rows)
     if best is None:
@@ -221,16 +221,18 @@ def joined(links: np.ndarray) -> np.ndarray:
         label = new
 
 
-def compare(rows: list[tuple[str, bool, np.ndarray]], similarity: float) -> list[tuple[str, int, str]]:
-    """(class, links, smallest class joined with) of one piece of work; rows: (class, is it left, n-grams).
+def compare(rows: list[tuple[str, str, np.ndarray]], similarity: float) -> list[tuple[str, int, str]]:
+    """(class, links, smallest class joined with) of one piece of work; rows: (class, side, n-grams).
 
-    Without left rows all pairs count, else those of a left and another row.
+    All pairs count if the side is "all", else those of a "left" and a "right" row.
     """
-    rows = sorted({(key, left): (key, left, grams) for key, left, grams in rows}.values(), key=lambda r: r[:2])
-    left, right = [r for r in rows if r[1]], [r for r in rows if not r[1]]
+    rows = sorted({(key, side): (key, side, grams) for key, side, grams in rows}.values(), key=lambda r: r[:2])
+    left, right = [r for r in rows if r[1] == "left"], [r for r in rows if r[1] != "left"]
     nodes = [r[0] for r in left + right]
     links = np.zeros((len(nodes), len(nodes)), dtype=bool)
-    if left and right:
+    if rows[0][1] != "all":
+        if not left or not right:
+            return []
         found = linked([r[2] for r in left], [r[2] for r in right], similarity)
         links[: len(left), len(left) :] = found
         links[len(left) :, : len(left)] = found.T
@@ -244,7 +246,7 @@ def compare(rows: list[tuple[str, bool, np.ndarray]], similarity: float) -> list
 
 
 def work(classes: DataFrame) -> DataFrame:
-    """Per class of a candidate component: the pieces of work it belongs to, as (work, is it left)."""
+    """Per class of a candidate component: the pieces of work it belongs to, as (work, side)."""
     size_class = F.floor(F.log("n_grams") / math.log(1 / common.SIMILARITY)).cast("int")
     blocks = lambda n, grams: F.greatest(F.ceil(n / BLOCK_CLASSES), F.ceil(grams / BLOCK_GRAMS)).cast("int")
     cells = classes.groupBy("component", size_class.alias("cell")).agg(
@@ -262,10 +264,10 @@ def work(classes: DataFrame) -> DataFrame:
         return F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
 
     i, c = F.col("own"), F.col("cell")
-    same = F.transform(others(c), lambda j: F.struct(name(c, F.least(i, j), c, F.greatest(i, j)).alias("work"), (i < j).alias("left")))
-    after = F.transform(others(c + 1), lambda j: F.struct(name(c, i, c + 1, j).alias("work"), F.lit(True).alias("left")))
-    before = F.transform(others(c - 1), lambda j: F.struct(name(c - 1, j, c, i).alias("work"), F.lit(False).alias("left")))
-    whole = F.array(F.struct(F.col("component").cast("string").alias("work"), F.lit(False).alias("left")))
+    same = F.transform(others(c), lambda j: F.struct(name(c, F.least(i, j), c, F.greatest(i, j)).alias("work"), F.when(i < j, "left").when(i > j, "right").otherwise("all").alias("side")))
+    after = F.transform(others(c + 1), lambda j: F.struct(name(c, i, c + 1, j).alias("work"), F.lit("left").alias("side")))
+    before = F.transform(others(c - 1), lambda j: F.struct(name(c - 1, j, c, i).alias("work"), F.lit("right").alias("side")))
+    whole = F.array(F.struct(F.col("component").cast("string").alias("work"), F.lit("all").alias("side")))
     return (
         classes.join(by_component, "component").withColumn("cell", size_class).withColumn("own", own)
         .withColumn("works", F.when(F.col("in_all") == 1, whole).otherwise(F.concat(same, after, before)))
@@ -295,12 +297,12 @@ def verified(docs: DataFrame, classes: DataFrame, words: int, similarity: float)
             )
 
         for batch in batches:
-            for name, left, key, stored in zip(*(column.to_pylist() for column in batch.columns), strict=True):
+            for name, side, key, stored in zip(*(column.to_pylist() for column in batch.columns), strict=True):
                 if name != current:
                     if len(rows) > 1:
                         yield results()
                     current, rows = name, []
-                rows.append((key, left, np.frombuffer(stored, dtype=np.uint64)))
+                rows.append((key, side, np.frombuffer(stored, dtype=np.uint64)))
         if len(rows) > 1:
             yield results()
 
@@ -308,11 +310,11 @@ def verified(docs: DataFrame, classes: DataFrame, words: int, similarity: float)
     known = lambda df: df.withColumn("doc_id", F.coalesce("doc_id", F.lit(-(1 << 63))))
     sets = (
         known(work(classes)).join(known(keyed(docs)), ["doc_id", "text_hash"]).select("class_key", "works", "text")
-        .mapInArrow(grams, "class_key string, works array<struct<work:string,left:boolean>>, grams binary")
+        .mapInArrow(grams, "class_key string, works array<struct<work:string,side:string>>, grams binary")
     )
     return (
         sets.select(F.explode("works").alias("w"), "class_key", "grams")
-        .select("w.work", "w.left", "class_key", "grams")
+        .select("w.work", "w.side", "class_key", "grams")
         .repartition("work").sortWithinPartitions("work")
         .mapInArrow(pairs, "class_key string, links long, joined string")
     )

@@ -103,9 +103,8 @@ def base_failed(m: Column) -> Column:
     return (m["n_words"] < LEAST_WORDS) | (100 * m["n_repeat_words"] > MOST_REPEATED * m["n_words"])
 
 
-def estimate(patterns: dict[tuple[int, ...], int]) -> tuple[float, list[dict[int, float]]]:
+def estimate(patterns: dict[tuple[int, ...], int], n_rules: int) -> tuple[float, list[dict[int, float]]]:
     """Log-odds of being fit: the prior and, for each rule, what each vote adds.  ``patterns``: documents by votes."""
-    n_rules = len(next(iter(patterns), ()))
     total = sum(patterns.values())
     with_vote = [{v: sum(n for votes, n in patterns.items() if votes[r] == v) for v in FIRST_FIT} for r in range(n_rules)]
 
@@ -156,7 +155,7 @@ def judged(docs: DataFrame, columns: list[str]) -> tuple[DataFrame, Column, Colu
     staged = common.stage(docs.select(*[F.col(f"`{c}`") for c in columns], measures(text).alias(name)), "quality")
     m = F.col(name)
     votes = list(rules(m).values())
-    prior, odds = estimate(pattern_counts(staged, votes))
+    prior, odds = estimate(pattern_counts(staged, votes), len(votes))
     fit = posterior(votes, prior, odds)
     return staged, fit, ~base_failed(m) & (fit >= 0.5)
 

@@ -9,12 +9,12 @@ from __future__ import annotations
 
 import os
 import re
-from struct import pack
+from struct import Struct
 
 import numpy as np
 
 END_ID = 2
-CACHE_CHUNKS = 200_000
+CACHE_CHUNKS = 400_000
 
 CUT = re.compile(r" (?=\S)")
 UNSAFE_SPACE = re.compile(r" (?:\s|$)")
@@ -34,6 +34,7 @@ def _byte_characters() -> dict[int, str]:
 
 
 BYTE_CHARACTERS = _byte_characters()
+PACKERS = [Struct(f"<{n}I") for n in range(64)]
 
 
 class _Chunks(dict):
@@ -45,23 +46,27 @@ class _Chunks(dict):
     def __init__(self, tokenizer, before: str, heads: _Chunks | None = None) -> None:
         super().__init__()
         self.tokenizer, self.before, self.heads = tokenizer, before, heads if heads is not None else self
-        self.model, self.older = tokenizer.model, {}
+        self.tokenize, self.older = tokenizer.model.tokenize, {}
+        self.shown_before = before.translate(BYTE_CHARACTERS)
 
     def ids(self, chunk: str) -> bytes:
         encoded = self.tokenizer.encode(chunk, add_special_tokens=False).ids
         return np.array(encoded, dtype="<u4").tobytes()
 
     def word_ids(self, word: str) -> bytes:
-        """Ids of one unit, that is of letters only with at most one space before: merged without cutting it first."""
-        shown = word.encode("utf-8").decode("latin-1").translate(BYTE_CHARACTERS)
-        tokens = self.model.tokenize(shown)
-        return pack(f"<{len(tokens)}I", *[token.id for token in tokens])
+        """Ids of a word of letters only, which is one unit with what stands before: merged without cutting it first."""
+        if word.isascii():
+            shown = self.shown_before + word
+        else:
+            shown = self.shown_before + word.encode("utf-8").decode("latin-1").translate(BYTE_CHARACTERS)
+        ids = [token.id for token in self.tokenize(shown)]
+        return (PACKERS[len(ids)] if len(ids) < len(PACKERS) else Struct(f"<{len(ids)}I")).pack(*ids)
 
     def __missing__(self, chunk: str) -> bytes:
         found = self.older.get(chunk)
         if found is None:
             if chunk.isalpha():
-                found = self.word_ids(self.before + chunk)
+                found = self.word_ids(chunk)
             elif "\n" in chunk:
                 lines = chunk.split("\n")
                 if all(lines) and not OTHER_SPACE.search(chunk):
