@@ -72,6 +72,28 @@ def random_rows_are_exact(spark, sf):
     )
 
 
+@query("fraction_sample_follows_source", "SELECT TRUE AS in_source, TRUE AS fraction_plausible, COUNT(*) AS source_rows FROM lineitem")
+def fraction_sample_follows_source(spark, sf):
+    """A tenth of the rows, none twice more often than in the table."""
+    source = s.table(spark, sf, "lineitem")
+    taken = fraction_sample_query(spark, sf)
+    counts = taken.withColumn("_n", F.lit(1)).unionByName(source.withColumn("_n", F.lit(-1)))
+    surplus = counts.groupBy(*source.columns).agg(F.sum("_n").alias("_n"), F.count_if(F.col("_n") == 1).alias("_taken"))
+    rows = F.sum(F.col("_taken") - F.col("_n"))
+    return surplus.agg(
+        (F.max("_n") <= 0).alias("in_source"), F.sum("_taken").between(rows * 0.08, rows * 0.12).alias("fraction_plausible"),
+        rows.cast("bigint").alias("source_rows"),
+    )
+
+
+@query("first_rows_come_from_source", s.with_standins("SELECT least(5, COUNT(*)) AS rows_taken, least(5, COUNT(*)) AS in_source FROM trips"))
+def first_rows_come_from_source(spark, sf):
+    taken, source = first_rows(spark, sf), s.wall_clock(s.silver_trips(spark, sf)).distinct()
+    same = [taken[c].eqNullSafe(source[c]) for c in taken.columns]
+    found = taken.join(source, same, "left_semi").agg(F.count("*"))
+    return taken.agg(F.count("*").alias("rows_taken")).select("rows_taken", found.scalar().alias("in_source"))
+
+
 @query("noise_stays_in_bounds", "SELECT event_id, value, TRUE AS in_bounds FROM events")
 def noise_stays_in_bounds(spark, sf):
     noisy = updates.noisy("value", 0.03, 42)
@@ -95,7 +117,8 @@ def trip_update_copies(spark, sf):
     )
 
 
-@query("trip_update_follows_source", "SELECT TRUE AS after_latest, TRUE AS duration_kept, TRUE AS fraction_plausible")
+@query("trip_update_follows_source", s.with_standins("""
+SELECT TRUE AS after_latest, TRUE AS duration_kept, TRUE AS fraction_plausible, COUNT(*) AS source_rows FROM trips"""))
 def trip_update_follows_source(spark, sf):
     """New trips start after the latest source trip and keep their duration; about seven percent are taken."""
     source = s.raw_trips(spark, sf)
@@ -107,6 +130,7 @@ def trip_update_follows_source(spark, sf):
         (F.min("tpep_pickup_datetime") > latest).alias("after_latest"),
         F.bool_and(seconds.between(0, longest + 1)).alias("duration_kept"),
         F.count("*").between(int(total * 0.035), int(total * 0.14) + 5).alias("fraction_plausible"),
+        F.lit(total).cast("bigint").alias("source_rows"),
     )
 
 
@@ -119,7 +143,9 @@ def weather_update_hours(spark, sf):
     return weather_update(spark, sf).groupBy("year", "month", "day", "hour").agg(F.count("*").alias("readings"))
 
 
-@query("weather_update_limits", "SELECT TRUE AS temp_ok, TRUE AS wind_ok, TRUE AS humidity_ok, TRUE AS humidity_known")
+@query("weather_update_limits", s.with_standins("""
+SELECT TRUE AS temp_ok, TRUE AS wind_ok, TRUE AS humidity_ok, TRUE AS humidity_known, COUNT(*) AS readings FROM weather
+WHERE obs_timestamp > (SELECT MAX(obs_timestamp) FROM weather) - INTERVAL 88 HOUR"""))
 def weather_update_limits(spark, sf):
     def within(column, low, high):
         return F.bool_and(F.coalesce(F.col(column).between(low, high), F.lit(True)))
@@ -127,7 +153,7 @@ def weather_update_limits(spark, sf):
     return weather_update(spark, sf).agg(
         within("temp", -50, 50).alias("temp_ok"), within("wspd", 0, 80).alias("wind_ok"),
         within("humidity", 20, 100).alias("humidity_ok"),
-        F.bool_and(F.col("humidity").isNotNull()).alias("humidity_known"),
+        F.bool_and(F.col("humidity").isNotNull()).alias("humidity_known"), F.count("*").alias("readings"),
     )
 
 

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from contract import standins as s
@@ -20,7 +23,7 @@ SELECT pickup_datetime, CAST(dayofweek(pickup_datetime) + 1 AS DOUBLE) AS day_of
        {rounded('cos(2 * pi() * hour(pickup_datetime) / 24)', 6)} AS cos_hour, fare_amount AS label
 FROM trips"""))
 def time_features(spark, sf):
-    out = training.time_features().transform(s.silver_trips(spark, sf).select("pickup_datetime", "fare_amount"))
+    out = training.time_features(s.silver_trips(spark, sf).select("pickup_datetime", "fare_amount"))
     out = out.withColumns({c: stable_round(c, 6) for c in ("sin_hour", "cos_hour")})
     return s.wall_clock(out.drop("fare_amount"))
 
@@ -33,6 +36,26 @@ def median_imputation(spark, sf):
     ))
 
 
+@query("median_imputation_fills", with_standins("""
+SELECT COUNT(*) AS row_count, CAST(0 AS BIGINT) AS nulls_left, TRUE AS known_kept, TRUE AS middle_value FROM integrated"""))
+def median_imputation_fills(spark, sf):
+    """No nulls are left, known values stay, and the filled one lies between the quartiles of its column."""
+    df = s.integrated(spark, sf, evolved=False)
+    filled = training.median_imputer().fit(df).transform(df)
+    names = training.NUMERIC_FEATURES
+    nulls = sum((F.count_if(F.col(f"{c}_imputed").isNull()) for c in names), F.lit(0))
+    kept = [F.bool_and(F.coalesce(F.col(c) == F.col(f"{c}_imputed"), F.lit(True))) for c in names]
+    middle = [
+        F.coalesce(
+            F.max(F.when(F.col(c).isNull(), F.col(f"{c}_imputed"))).between(F.percentile(c, 0.25), F.percentile(c, 0.75)), F.lit(True)
+        ) for c in names
+    ]
+    return filled.agg(
+        F.count("*").alias("row_count"), nulls.alias("nulls_left"), reduce(Column.__and__, kept).alias("known_kept"),
+        reduce(Column.__and__, middle).alias("middle_value"),
+    )
+
+
 @query("category_index", with_standins("""
 SELECT t.pickup_borough, t.pickup_location_id, CAST(i.rank - 1 AS DOUBLE) AS pickup_borough_indexed
 FROM integrated t JOIN (SELECT pickup_borough, ROW_NUMBER() OVER (ORDER BY COUNT(*) DESC, pickup_borough) AS rank
@@ -81,7 +104,7 @@ def standardised_features(spark, sf):
 
 @query("feature_vectors")
 def feature_vectors(spark, sf):
-    df = training.training_filter(s.integrated(spark, sf, evolved=False))
+    df = training.time_features(training.training_filter(s.integrated(spark, sf, evolved=False)))
     out = training.feature_pipeline().fit(df).transform(df)
     return s.wall_clock(out.select("pickup_datetime", "label", vector_to_array("features").alias("features")))
 
@@ -94,6 +117,35 @@ def fare_predictions(spark, sf):
     return s.wall_clock(training.predict(model, df).select("pickup_datetime", "pickup_borough", "label", "prediction"))
 
 
+TRAINING_ROWS = """
+FROM integrated WHERE fare_amount > 0 AND trip_distance > 0.05 AND pickup_borough NOT IN ('Unknown', 'EWR')"""
+
+
+@query("feature_vectors_are_standardised", with_standins(f"""
+SELECT COUNT(*) AS row_count, TRUE AS one_length, TRUE AS centred, TRUE AS scaled {TRAINING_ROWS}"""))
+def feature_vectors_are_standardised(spark, sf):
+    """Every slot has mean 0 and deviation 1, or 0 where the feature is constant."""
+    slots = feature_vectors(spark, sf).select(F.monotonically_increasing_id().alias("row"), F.posexplode("features").alias("slot", "value"))
+    by_slot = slots.groupBy("slot").agg(F.count("*").alias("n"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("sd"))
+    near = lambda value, to: F.abs(value - to) < 1e-6
+    return by_slot.agg(
+        F.max("n").alias("row_count"), (F.max("n") == F.min("n")).alias("one_length"), F.bool_and(near(F.col("mean"), 0)).alias("centred"),
+        F.bool_and(near(F.col("sd"), 1) | near(F.col("sd"), 0)).alias("scaled"),
+    )
+
+
+@query("fare_predictions_beat_the_mean", with_standins(f"""
+SELECT COUNT(*) AS row_count, TRUE AS better_than_mean, TRUE AS all_predicted {TRAINING_ROWS}"""))
+def fare_predictions_beat_the_mean(spark, sf):
+    """One prediction per row, with a smaller squared error than the constant model's."""
+    out = fare_predictions(spark, sf)
+    error = F.avg((F.col("label") - F.col("prediction")) ** 2)
+    return out.agg(
+        F.count("*").alias("row_count"), (error < F.var_pop("label")).alias("better_than_mean"),
+        F.bool_and(F.col("prediction").isNotNull()).alias("all_predicted"),
+    )
+
+
 PREDICTION_CTE = """predictions AS (
   SELECT pickup_borough, fare_amount AS label, tip_amount * 10 + 3 AS prediction FROM integrated)"""
 

@@ -80,7 +80,7 @@ def parse_dataset(raw: Mapping[str, Any], name: str) -> DatasetConfig:
 def load_dataset(name: str, directory: Path | str = DEFAULT_DIRECTORY) -> DatasetConfig:
     path = Path(directory) / f"{name}.yaml"
     if not path.exists():
-        raise FileNotFoundError(f"Dataset config not found: {path}")
+        raise FileNotFoundError(f"{path} is missing; every dataset needs a configuration file of its name")
     return parse_dataset(yaml.safe_load(path.read_text()) or {}, name)
 
 

@@ -39,7 +39,7 @@ def resolve_alias(columns: Iterable[str], aliases: Iterable[str], target: str) -
     for alias in aliases:
         if alias.lower() in by_lower:
             return by_lower[alias.lower()]
-    raise ValueError(f"Missing required column '{target}'. Available columns: {columns}")
+    raise ValueError(f"none of the columns {columns} can serve as {target}; rename one or extend the aliases")
 
 
 def with_alias(df: DataFrame, target: str, aliases: Iterable[str]) -> DataFrame:

@@ -6,6 +6,8 @@ while the data model asks for a null that the row rules can then reject with a r
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -59,6 +61,15 @@ def month_start(value: Column | str) -> Column:
     return F.trunc(_column(value), "MM")
 
 
+def calendar_parts(value: Column | str) -> dict[str, Column]:
+    """Weekday (Sunday is 1), month, hour, whether it is a weekend, and the hour as a point on a circle; all doubles."""
+    at = _column(value)
+    weekday, hour = F.dayofweek(at), F.hour(at)
+    turn = hour * (2 * math.pi / 24)
+    parts = {"day_of_week": weekday, "month": F.month(at), "hour_of_day": hour, "is_weekend": weekday.isin(1, 7).cast("int")}
+    return {name: part.cast("double") for name, part in parts.items()} | {"sin_hour": F.sin(turn), "cos_hour": F.cos(turn)}
+
+
 def shift_seconds(value: Column | str, seconds: Column | int) -> Column:
     """Move a timestamp by whole seconds; fractions below a second are dropped, as in epoch seconds."""
     seconds = F.lit(seconds) if isinstance(seconds, int) else seconds

@@ -11,8 +11,9 @@ from strata.lake import Lake
 from strata.plans.bronze import ingest_all
 from strata.plans.gold import build_products, integrate
 from strata.plans.reports import monitoring_report
-from strata.plans.silver import promote_all
+from strata.plans.silver import merge_dataset_update, promote_all
 from strata.plans.updates import run_all_generators
+from strata.streaming.ingest import ingest_stream
 
 
 def run_bronze(spark: SparkSession, lake: Lake, datasets=None, mode: str = "auto") -> dict[str, int]:
@@ -31,10 +32,15 @@ def run_gold(
     return build_products(spark, lake, force=force_products) if stage in ("products", "all") else {}
 
 
-def run_report(spark: SparkSession, lake: Lake, rows: int = 200) -> None:
+def run_merge(spark: SparkSession, lake: Lake, datasets) -> dict[str, tuple[int, int]]:
+    return {name: merge_dataset_update(spark, lake, name) for name in datasets}
+
+
+def run_report(spark: SparkSession, lake: Lake, rows: int | None = None) -> None:
+    """Print the monitoring reports, whole unless ``rows`` bounds them."""
     for name, report in monitoring_report(spark, lake).items():
         print(name)
-        report.show(rows, truncate=False)
+        report.show(report.count() if rows is None else rows, truncate=False)
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -51,13 +57,21 @@ def _parser() -> argparse.ArgumentParser:
     gold.add_argument("--force-products", action="store_true")
     gold.add_argument("--skip-borough-layout", action="store_true")
     steps.add_parser("updates")
-    steps.add_parser("report")
+    merge = steps.add_parser("merge", help="bring update files straight into silver")
+    merge.add_argument("--dataset", action="append", dest="datasets", required=True)
+    arrivals = steps.add_parser("stream", help="load the files that have arrived in a folder")
+    arrivals.add_argument("--dataset", required=True)
+    arrivals.add_argument("--source", required=True)
+    report = steps.add_parser("report")
+    report.add_argument("--rows", type=int, help="print at most so many rows of each report")
     return parser
 
 
 def main(argv: Sequence[str] | None = None) -> None:
     args = _parser().parse_args(argv)
-    spark = SparkSession.builder.appName(f"strata-{args.step}").getOrCreate()
+    # Hours and dates of timestamps are meant in UTC, whatever the zone of the cluster.
+    builder = SparkSession.builder.appName(f"strata-{args.step}").config("spark.sql.session.timeZone", "UTC")
+    spark = builder.getOrCreate()
     lake = Lake(args.lake)
     if args.step == "bronze":
         print(run_bronze(spark, lake, args.datasets, args.mode))
@@ -68,8 +82,12 @@ def main(argv: Sequence[str] | None = None) -> None:
     elif args.step == "updates":
         for report in run_all_generators(spark, lake):
             print(report)
+    elif args.step == "merge":
+        print(run_merge(spark, lake, args.datasets))
+    elif args.step == "stream":
+        print(ingest_stream(spark, lake, args.dataset, args.source))
     else:
-        run_report(spark, lake)
+        run_report(spark, lake, args.rows)
 
 
 if __name__ == "__main__":

@@ -3,17 +3,17 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
-def differences(left: DataFrame, right: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Rows (with multiplicity) only in the left and only in the right frame, columns matched by name."""
-    right = right.select(*left.columns)
-    return left.exceptAll(right), right.exceptAll(left)
+def differences(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Rows that one frame holds more often than the other, columns matched by name; ``_surplus`` is how much more often
+    the left one does.  One pass over each frame."""
+    one = lambda df, n: df.select(*left.columns).withColumn("_surplus", F.lit(n))
+    both = one(left, 1).unionByName(one(right, -1))
+    return both.groupBy(*[F.col(f"`{c}`") for c in left.columns]).agg(F.sum("_surplus").alias("_surplus")).filter("_surplus <> 0")
 
 
 def same_rows(left: DataFrame, right: DataFrame) -> bool:
     """True when both frames hold the same rows the same number of times, in any order."""
-    if sorted(left.columns) != sorted(right.columns):
-        return False
-    only_left, only_right = differences(left, right)
-    return only_left.isEmpty() and only_right.isEmpty()
+    return sorted(left.columns) == sorted(right.columns) and differences(left, right).isEmpty()

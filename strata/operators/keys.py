@@ -16,10 +16,13 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.operators.lookup import lookup_side
+
+from strata.operators.lookup import fits_broadcast
 
 # Pieces a hot key is cut into; at most this many leaders meet in one task.
 SALTS = 16_384
+# Pieces a hot key is cut into while its rows are looked up among the repeated keys.
+LOOKUP_PARTS = 16
 
 
 def _content_order(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column | str]) -> list[Column]:
@@ -60,7 +63,7 @@ def first_given_repeated(
 
     Rows with a key of their own pass straight from the scan; only the rows of repeated keys are ranked.
     """
-    known = lookup_side(_prefixed(repeated, keys))
+    known = _prefixed(repeated, keys)
     match = null_safe_match(df, known, keys, "_k_")
     single = df.join(known, match, "left_anti")
     ranked = first_per_key(df.join(known, match, "left_semi"), keys, order_by)
@@ -80,7 +83,12 @@ def repeats_per_key(
     # The input partition spreads exact copies, the content spreads the distinct rows of a key.
     rest = [F.col(f"`{c}`") for c in columns if c not in keys]
     salted = df.withColumn("_salt", F.pmod(F.xxhash64(F.spark_partition_id(), *rest), F.lit(SALTS)))
-    rows = salted.join(hot, null_safe_match(salted, hot, keys, "_k_"), "left_semi")
+    match = null_safe_match(salted, hot, keys, "_k_")
+    if not fits_broadcast(hot):
+        # A shuffled lookup goes by key and part, with every repeated key once in each part.
+        hot = hot.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(LOOKUP_PARTS - 1))))
+        match = null_safe_match(salted, hot, keys, "_k_") & (F.pmod(salted["_salt"], F.lit(LOOKUP_PARTS)) == hot["_part"])
+    rows = salted.join(hot, match, "left_semi")
     # An explicit repartition: Spark would otherwise reuse the join's partitioning by key alone for the window.
     spread = rows.repartition(*[F.col(k) for k in keys], F.col("_salt"))
     inside = Window.partitionBy(*keys, "_salt").orderBy(*order)

@@ -5,10 +5,6 @@ from __future__ import annotations
 import re
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-# A million narrow rows is a few tens of megabytes: more than a century of hours, far more than any zone list.
-BROADCAST_ROW_LIMIT = 1_000_000
 
 
 def estimated_bytes(df: DataFrame) -> int | None:
@@ -26,25 +22,10 @@ def auto_broadcast_bytes(df: DataFrame) -> int:
     return int(match[1]) * 1024 ** " kmgt".index(match[2] or " ") if match else 0
 
 
-def fits_broadcast(df: DataFrame, row_limit: int = BROADCAST_ROW_LIMIT) -> bool:
-    """True when the size of the frame is known to allow a broadcast."""
-    estimate = estimated_bytes(df)
-    if estimate is not None and estimate <= auto_broadcast_bytes(df):
-        return True
-    return df.limit(row_limit + 1).count() <= row_limit
-
-
-def lookup_side(df: DataFrame, row_limit: int = BROADCAST_ROW_LIMIT) -> DataFrame:
-    """Prepare the right side of a lookup join.
+def fits_broadcast(df: DataFrame) -> bool:
+    """True when Spark itself would broadcast the frame: its own estimate is within the session's threshold.
 
-    A plan that Catalyst already estimates below its broadcast threshold is left alone: Spark broadcasts it by
-    its own size check.  For a larger estimate the rows are counted up to the limit, and only a side proven to
-    be within it gets the hint.  Beyond the limit the join stays an ordinary shuffle join, which works at any
-    size and whose hot keys adaptive execution splits.
+    Write a derived side to a table first: the files' size is then the estimate, and nothing has to be counted.
     """
     estimate = estimated_bytes(df)
-    if estimate is not None and estimate <= auto_broadcast_bytes(df):
-        return df
-    if df.limit(row_limit + 1).count() <= row_limit:
-        return F.broadcast(df)
-    return df
+    return estimate is not None and estimate <= auto_broadcast_bytes(df)

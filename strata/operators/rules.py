@@ -131,7 +131,7 @@ def compile_rules(schema: T.StructType, config: Any) -> tuple[list[Violation], l
         elif name in ROW_RULES:
             violations += ROW_RULES[name](schema, **item)
         else:
-            raise KeyError(f"Unknown validation rule: {name}")
+            raise KeyError(f"{name} is no row rule; known are primary_key, schema, {', '.join(sorted(ROW_RULES))}")
     return violations, key
 
 

@@ -142,5 +142,5 @@ TRANSFORMS: dict[str, Callable[[DataFrame], DataFrame]] = {
 
 def to_silver(df: DataFrame, name: str) -> DataFrame:
     if name not in TRANSFORMS:
-        raise KeyError(f"No silver transform for dataset: {name}")
+        raise KeyError(f"{name} has no standardising step; known are: {", ".join(TRANSFORMS)}")
     return TRANSFORMS[name](df)

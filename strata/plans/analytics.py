@@ -62,19 +62,6 @@ MEASURES = (
 )
 
 
-def _gathered(df: DataFrame) -> DataFrame:
-    """One task for a folded frame with at most one row per hour of the calendar, however many trips there are.
-
-    The steps that follow (regrouping, ranking, ordering) then need no further exchange.
-    """
-    return df.repartition(1)
-
-
-def _small_sort(df: DataFrame, *order) -> DataFrame:
-    """Order a result whose size is bounded by the calendar or by fixed bins: one task, no sampling pass."""
-    return df.repartition(1).sortWithinPartitions(*order)
-
-
 def is_cube(df: DataFrame) -> bool:
     return "trips" in df.columns
 
@@ -133,23 +120,27 @@ def distance_by_weather(df: DataFrame, computed_at: bool = False) -> DataFrame:
     columns = ["temp_category", "wind_category", "trip_count", _mean("_distance", "trip_count").alias("avg_distance_miles")]
     columns += ["avg_humidity_pct"] if humid else []
     columns += [F.current_timestamp().alias("_computed_at")] if computed_at else []
-    return _small_sort(out.select(*columns), "temp_category", "wind_category")
+    return out.select(*columns).orderBy("temp_category", "wind_category")
 
 
 def pm25_demand(df: DataFrame, with_aqi: bool = False) -> DataFrame:
     """Trips, observed hours and trips per hour by rounded PM2.5 level, with the mean index on request."""
     seen = df.filter(F.col("pm25").isNotNull() & F.col("pickup_date").isNotNull() & F.col("pickup_hour").isNotNull())
     aqi = ["aqi"] if with_aqi and "aqi" in df.columns else []
-    hourly = fold(
-        seen.withColumn("pm25_level", stable_round("pm25", 0)), ["pm25_level", "pickup_date", "pickup_hour", *aqi]
+    # One row per level and hour, so hours are counted as rows; the index goes along as a weighted sum.
+    trips = F.col("trips") if is_cube(seen) else F.lit(1)
+    sums = {"trips": F.sum(trips)}
+    if aqi:
+        known = F.col("aqi").isNotNull()
+        sums |= {"aqi_sum": F.sum(F.when(known, F.col("aqi") * trips)), "aqi_trips": F.sum(F.when(known, trips))}
+    hourly = seen.groupBy(stable_round("pm25", 0).alias("pm25_level"), "pickup_date", "pickup_hour").agg(
+        *[total.alias(name) for name, total in sums.items()]
+    )
+    out = hourly.groupBy("pm25_level").agg(
+        *[F.sum(name).alias(name) for name in sums], F.count(F.lit(1)).alias("observed_hours")
     )
-    measures = [
-        F.sum("trips").alias("trips"),
-        F.count_distinct(F.struct("pickup_date", "pickup_hour")).alias("observed_hours"),
-    ]
     if aqi:
-        measures.append(_weighted_mean("aqi", "trips", 0).alias("avg_aqi_index"))
-    out = hourly.groupBy("pm25_level").agg(*measures)
+        out = out.withColumn("avg_aqi_index", _mean("aqi_sum", "aqi_trips", 0))
     return out.select(
         "pm25_level", *(["avg_aqi_index"] if aqi else []), "trips", "observed_hours",
         _mean("trips", "observed_hours").alias("trips_per_hour"),
@@ -211,7 +202,7 @@ def zone_weather_sensitivity(df: DataFrame, min_trips_per_hour: float = MIN_TRIP
 def hourly_by_weekday(df: DataFrame) -> DataFrame:
     """Trips, active days and trips per active day by weekday and hour."""
     seen = df.filter(F.col("pickup_date").isNotNull() & F.col("pickup_hour").isNotNull())
-    daily = _gathered(fold(seen, ["pickup_date", "pickup_hour"]))
+    daily = fold(seen, ["pickup_date", "pickup_hour"])
     return (
         daily.groupBy(F.dayofweek("pickup_date").alias("dow"), "pickup_hour")
         .agg(F.sum("trips").alias("trip_count"), F.count(F.lit(1)).alias("active_days"))
@@ -224,7 +215,7 @@ def peak_hours_by_weekday(df: DataFrame) -> DataFrame:
     order = Window.partitionBy("dow").orderBy(F.desc("avg_trips"), F.desc("trip_count"), F.asc("pickup_hour"))
     top = hourly_by_weekday(df).withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") == 1)
     names = F.array(*[F.lit(d) for d in DAY_NAMES])
-    return top.sortWithinPartitions((F.col("dow") + 5) % 7).select(
+    return top.orderBy((F.col("dow") + 5) % 7).select(
         F.element_at(names, F.col("dow")).alias("day_of_week"),
         F.col("pickup_hour").alias("peak_hour"),
         "trip_count", "active_days", "avg_trips",
@@ -233,7 +224,7 @@ def peak_hours_by_weekday(df: DataFrame) -> DataFrame:
 
 def monthly_trends(df: DataFrame) -> DataFrame:
     """Average daily trips per month against the month before."""
-    daily = _gathered(fold(df.filter(F.col("pickup_date").isNotNull()), ["pickup_date"]))
+    daily = fold(df.filter(F.col("pickup_date").isNotNull()), ["pickup_date"])
     monthly = (
         daily.groupBy(month_start("pickup_date").alias("trip_month"))
         .agg(F.sum("trips").alias("total_trips"), F.count(F.lit(1)).alias("active_days"))
@@ -245,7 +236,7 @@ def monthly_trends(df: DataFrame) -> DataFrame:
     return (
         monthly.withColumn("prev_month_avg_daily", previous)
         .withColumn("pct_change_vs_prev_month", stable_round(change, 2))
-        .sortWithinPartitions("trip_month")
+        .orderBy("trip_month")
     )
 
 

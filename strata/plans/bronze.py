@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable
 from pathlib import Path
 from typing import Literal
@@ -14,7 +15,7 @@ from strata.lake import Lake
 from strata.operators.rules import run_schema_checks
 from strata.operators.transforms import prepare
 from strata.plans.concurrent import side_by_side
-from strata.plans.runs import OPS_WRITE, Run, record_run
+from strata.plans.runs import Run, record_run
 from strata.sources.files import (
     apply_filter, list_files, not_yet_ingested, path_exists, read_files, union_update,
 )
@@ -27,11 +28,11 @@ IngestMode = Literal["auto", "full", "incremental"]
 
 
 def update_path(spark: SparkSession, lake: Lake, cfg: DatasetConfig) -> str | None:
-    """The dataset's update file or directory, if it is there."""
+    """The dataset's update file or directory, if there is data in it."""
     if cfg.update_path is None:
         return None
     path = lake.raw(cfg.update_path)
-    return path if path_exists(spark, path) else None
+    return path if path_exists(spark, path, with_data=True) else None
 
 
 def resolve_mode(spark: SparkSession, lake: Lake, cfg: DatasetConfig, mode: IngestMode) -> IngestMode:
@@ -42,47 +43,50 @@ def resolve_mode(spark: SparkSession, lake: Lake, cfg: DatasetConfig, mode: Inge
     return "incremental" if has_update and table_exists(spark, lake.bronze(cfg.bronze.table)) else "full"
 
 
-def _read(spark: SparkSession, cfg: DatasetConfig, paths) -> DataFrame:
+def read_raw_files(spark: SparkSession, cfg: DatasetConfig, paths) -> DataFrame:
     return read_files(spark, paths, cfg.format, cfg.read, expected=cfg.expected, infer=cfg.infer_schema)
 
 
 def read_raw(spark: SparkSession, lake: Lake, cfg: DatasetConfig) -> DataFrame:
     """Base rows, and the update rows if there are any."""
-    base = _read(spark, cfg, lake.raw(cfg.path))
+    base = read_raw_files(spark, cfg, lake.raw(cfg.path))
     update = update_path(spark, lake, cfg)
     if update is None:
         return base
     expected = cfg.expected if cfg.format == "csv" and not cfg.infer_schema else None
-    return union_update(base, _read(spark, cfg, update), expected)
+    return union_update(base, read_raw_files(spark, cfg, update), expected)
 
 
 def read_update(spark: SparkSession, lake: Lake, cfg: DatasetConfig) -> DataFrame:
     """Update rows only."""
     path = update_path(spark, lake, cfg)
     if path is None:
-        raise FileNotFoundError(f"No update file present for dataset: {cfg.name}")
-    return _read(spark, cfg, path)
+        raise FileNotFoundError(f"{cfg.name} has no update data below {cfg.update_path}")
+    return read_raw_files(spark, cfg, path)
 
 
 def new_update_files(spark: SparkSession, lake: Lake, cfg: DatasetConfig) -> DataFrame:
     """Listing of the update files that the register does not hold in this version."""
     path = update_path(spark, lake, cfg)
     if path is None:
-        raise FileNotFoundError(f"No update file present for dataset: {cfg.name}")
+        raise FileNotFoundError(f"{cfg.name} has no update data below {cfg.update_path}")
     return not_yet_ingested(list_files(spark, path), registered_files(spark, lake, cfg))
 
 
 def register_files(spark: SparkSession, lake: Lake, cfg: DatasetConfig, files: list) -> None:
-    """Note loaded files.  Their names were needed to build the scan, so the rows are at hand."""
+    """Note loaded files, in a directory of this load alone, so that jobs of other processes cannot interfere.
+
+    Their names were needed to build the scan, so the rows are at hand.
+    """
     rows = spark.createDataFrame([(cfg.name, *f) for f in files], REGISTER_SCHEMA).coalesce(1)
-    with OPS_WRITE:
-        write_table(rows, lake.ingested_files, mode="append")
+    rows.write.parquet(f"{lake.ingested_files}/{uuid.uuid4().hex}")
 
 
 def registered_files(spark: SparkSession, lake: Lake, cfg: DatasetConfig) -> DataFrame | None:
     if not table_exists(spark, lake.ingested_files):
         return None
-    return read_table(spark, lake.ingested_files).filter(F.col("dataset") == cfg.name)
+    register = spark.read.schema(REGISTER_SCHEMA).option("recursiveFileLookup", True).parquet(lake.ingested_files)
+    return register.filter(F.col("dataset") == cfg.name)
 
 
 def load_frame(spark: SparkSession, lake: Lake, cfg: DatasetConfig, raw: DataFrame, run: Run, *, append: bool) -> int:
@@ -93,7 +97,7 @@ def load_frame(spark: SparkSession, lake: Lake, cfg: DatasetConfig, raw: DataFra
         run.set_counts(
             processed=0, inserted=0, rejected=0, validation_failures=len(checked.errors), validation_ok=False
         )
-        run.error_message = "; ".join(checked.errors)
+        run.explain("; ".join(checked.errors))
         raise ValueError(f"Schema validation failed for {cfg.name}: {list(checked.errors)}")
     framed = prepare(apply_filter(raw, cfg.bronze.filter), cfg.bronze.prep, cfg.bronze.options)
     schema = read_table(spark, target).schema if append and table_exists(spark, target) else None
@@ -133,7 +137,7 @@ def ingest_dataset(
             if not files:
                 run.loaded(0)
                 return 0
-            raw = _read(spark, cfg, [f["path"] for f in files])
+            raw = read_raw_files(spark, cfg, [f["path"] for f in files])
         else:
             update = update_path(spark, lake, cfg)
             files = list_files(spark, update).collect() if update else []

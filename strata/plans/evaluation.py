@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 from strata.config import DEFAULT_DIRECTORY, load_dataset
 from strata.lake import Lake
 from strata.operators.compare import same_rows
-from strata.operators.lookup import lookup_side
 from strata.operators.rules import run_row_checks, run_schema_checks
 from strata.operators.transforms import to_silver
 from strata.plans.bronze import ingest_all, ingest_dataset, read_raw
@@ -100,7 +99,7 @@ def compare_adaptive(spark: SparkSession, name: str, build: Callable[[], DataFra
 
 def broadcast_join(facts: DataFrame, dimension: DataFrame, key: str, dimension_key: str) -> DataFrame:
     """Inner join with the dimension broadcast if it is proven small."""
-    return facts.join(lookup_side(dimension), facts[key] == dimension[dimension_key])
+    return facts.join(dimension, facts[key] == dimension[dimension_key])
 
 
 def merge_join(facts: DataFrame, dimension: DataFrame, key: str, dimension_key: str) -> DataFrame:
@@ -113,7 +112,7 @@ def hour_context_join(trips: DataFrame, hourly: DataFrame) -> DataFrame:
     paid = trips.filter((F.col("fare_amount") > 0) & (F.col("trip_distance") > 0)).select(
         "pickup_date", "pickup_hour", "fare_amount", "trip_distance"
     )
-    side = lookup_side(hourly)
+    side = hourly
     match = (paid["pickup_date"] == hourly["observation_date"]) & (paid["pickup_hour"] == hourly["observation_hour"])
     return paid.join(side, match, "inner")
 
@@ -205,8 +204,9 @@ def logging_overhead(spark: SparkSession, lake: Lake, samples: int = 3, steps: i
     """Seconds per run-log append, and what a run of ``steps`` steps pays for it."""
     seconds = []
     for _ in range(samples):
-        probe = Run("ops", "_monitoring_probe", "probe", status="probe")
+        probe = Run("ops", "_monitoring_probe", "probe")
         probe.loaded(0)
+        probe.known["status"] = "probe"
         seconds.append(timed(lambda probe=probe: append_run(spark, lake, probe, 0.0)))
     per_append = sum(seconds) / max(1, len(seconds))
     return {"total": sum(seconds), "per_append": per_append, "estimated": per_append * steps}

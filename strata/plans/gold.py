@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 from datetime import datetime
@@ -10,12 +11,12 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from strata.lake import Lake
-from strata.operators.enrich import EVOLVED_COLUMNS, build_integrated, context_tables
+from strata.operators.enrich import EVOLVED_COLUMNS, context_tables, enrich
 from strata.operators.lookup import fits_broadcast
 from strata.plans import analytics
 from strata.plans.concurrent import side_by_side
-from strata.plans.runs import last_commit, record_run, should_refresh
-from strata.sources.tables import cluster_for_write, read_table, table_exists, write_table
+from strata.plans.runs import last_commits, record_run, should_refresh
+from strata.sources.tables import cluster_for_write, read_table, remove_table, table_exists, write_table
 
 INTEGRATED = "integrated_taxi_trips"
 INTEGRATED_BY_BOROUGH = "integrated_taxi_trips_by_borough"
@@ -50,18 +51,25 @@ def integrate(
 ) -> DataFrame:
     """Build the integrated table by date and, from that written table, the layout by borough.
 
-    When all context tables are small enough to broadcast, trips go from the silver scan to the gold files without
-    a shuffle: silver has the same date partitions, so the files stay as few as they were.
+    The hourly tables are computed once and written to the staging area; Spark's estimate of those files decides how
+    they are joined.  When all context tables are small enough to broadcast, trips go from the silver scan to the gold
+    files without a shuffle: silver has the same date partitions, so the files stay as few as they were.
 
     The second layout reads the first one back: a written table is cheaper to rely on than a cached wide frame,
     and losing executors between the two writes costs nothing.
     """
     path = lake.gold(INTEGRATED)
     with record_run(spark, lake, "gold", INTEGRATED) as run:
-        silver = [read_table(spark, lake.silver(t)) for t in ("taxi_trips", "weather", "air_quality", "taxi_zones")]
-        shuffled = not all(fits_broadcast(t) for t in context_tables(*silver[1:], keep_extra))
-        wide = build_integrated(*silver, keep_extra=keep_extra)
+        trips, *sides = [read_table(spark, lake.silver(t)) for t in ("taxi_trips", "weather", "air_quality", "taxi_zones")]
+        zones, weather, air = context_tables(*sides, keep_extra)
+        staging = lake.staging(f"context-{run.known['run_id']}")
+        weather, air = (
+            read_table(spark, write_table(hourly, f"{staging}/{name}")) for name, hourly in (("weather", weather), ("air", air))
+        )
+        shuffled = not all(fits_broadcast(side) for side in (zones, weather, air))
+        wide = enrich(trips, zones, weather, air, keep_extra=keep_extra)
         rows = _count_and_write(wide, path, ("pickup_date",), cluster=shuffled)
+        remove_table(spark, staging)
         if write_borough_layout:
             by_date = read_table(spark, path)
             write_table(by_date, lake.gold(INTEGRATED_BY_BOROUGH), ("pickup_borough",))
@@ -111,10 +119,11 @@ def write_product_slice(df: DataFrame, path: str, partition_by: Iterable[str], v
 
 
 def stale_products(spark: SparkSession, lake: Lake, products: Iterable[Product] = PRODUCTS) -> list[Product]:
-    upstream = last_commit(spark, lake, INTEGRATED, lake.gold(INTEGRATED))
-    return [
-        p for p in products if should_refresh(last_commit(spark, lake, p.name, lake.product(p.name)), [upstream])
-    ]
+    products = list(products)
+    commits = last_commits(
+        spark, lake, {INTEGRATED: lake.gold(INTEGRATED)} | {p.name: lake.product(p.name) for p in products}
+    )
+    return [p for p in products if should_refresh(commits[p.name], [commits[INTEGRATED]])]
 
 
 def build_products(
@@ -131,7 +140,7 @@ def build_products(
         return {}
     integrated = read_table(spark, lake.gold(INTEGRATED))
     version = schema_version(integrated)
-    cube_path = lake.staging("demand_cube")
+    cube_path = lake.staging(f"demand_cube-{uuid.uuid4().hex}")
     write_table(analytics.demand_cube(integrated), cube_path)
     cube = read_table(spark, cube_path)
 
@@ -141,4 +150,6 @@ def build_products(
             run.loaded(rows)
             return rows
 
-    return side_by_side(spark, {p.name: lambda p=p: refresh(p) for p in due})
+    written = side_by_side(spark, {p.name: lambda p=p: refresh(p) for p in due})
+    remove_table(spark, cube_path)
+    return written

@@ -77,7 +77,7 @@ def promote_dataset(
         table, partition_by = cfg.silver.table, cfg.silver.partition_by
 
         def stage(repeated: DataFrame) -> DataFrame:
-            path = write_table(repeated, lake.staging(f"{table}_repeated_keys"))
+            path = write_table(repeated, lake.staging(f"{table}_repeated_keys-{run.known['run_id']}"))
             return read_table(spark, path)
 
         checked = run_row_checks(to_silver(bronze, name), cfg.silver.validation, stage=stage, cluster_by=partition_by)
@@ -171,12 +171,13 @@ def merge_dataset_update(
         update = to_silver(with_safe_columns(prepared), name)
         rules = [r for r in cfg.silver.validation if r.get("rule") != "primary_key"]
         determined = cfg.silver.options.get("key_determines_partition") and cfg.silver.partition_by
+        processed = update.count()
         inserted, rejected = merge_frame(
             update, lake, cfg.silver.table, cfg.silver.primary_key, cfg.silver.partition_by, rules,
             prune_by=cfg.silver.partition_by[0] if determined else None,
         )
         run.set_counts(
-            processed=inserted + rejected, inserted=inserted, rejected=rejected, validation_failures=rejected,
+            processed=processed, inserted=inserted, rejected=rejected, validation_failures=rejected,
             validation_ok=rejected == 0,
         )
         return inserted, rejected

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 from typing import Any
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,15 +18,45 @@ SUPPORTED_SUFFIXES = (".csv", ".parquet")
 LISTING_COLUMNS = ("path", "size", "modified_at")
 
 
-def read_csv(spark: SparkSession, paths, options: Mapping[str, Any] | None = None, *, infer: bool = False) -> DataFrame:
-    """Headered CSV.  Without inference only the header line is read up front and every column is text."""
+def is_file(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    return fs.exists(target) and fs.getFileStatus(target).isFile()
+
+
+def header_groups(spark: SparkSession, paths: Sequence[str]) -> list[list[str]]:
+    """The paths as they are if all their files have one header line, else the files of each header.
+
+    Spark applies one header to all files of a scan, by position.  The header lines are found by one distributed job;
+    file names reach the driver only if headers differ, to build one scan for each header.
+    """
+    if len(paths) == 1 and is_file(spark, paths[0]):
+        return [list(paths)]
+    lines = spark.read.text(list(paths)).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("line"),
+    )
+    headers = lines.filter(F.col("start") == 0).groupBy("file").agg(F.min_by("value", "line").alias("header"))
+    if headers.select("header").distinct().limit(2).count() < 2:
+        return [list(paths)]
+    groups: dict[str, list[str]] = {}
+    for row in headers.orderBy("file").toLocalIterator():
+        groups.setdefault(row["header"], []).append(unquote(row["file"]))
+    return list(groups.values())
+
+
+def read_csv(
+    spark: SparkSession, paths: str | Sequence[str], options: Mapping[str, Any] | None = None, *, infer: bool = False
+) -> DataFrame:
+    """CSV with headers, files matched by column name.  Without inference every column is text."""
     options = dict(options or {})
-    return (
-        spark.read.option("header", options.get("header", True))
-        .option("inferSchema", infer)
-        .option("mode", options.get("mode", "PERMISSIVE"))
-        .csv(paths)
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    header = options.get("header", True)
+    reader = (
+        spark.read.option("header", header).option("inferSchema", infer).option("mode", options.get("mode", "PERMISSIVE"))
     )
+    groups = [paths] if str(header).lower() == "false" else header_groups(spark, paths)
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [reader.csv(group) for group in groups])
 
 
 def read_files(
@@ -100,23 +131,19 @@ def discover_files(spark: SparkSession, root: str, keywords: Iterable[str]) -> l
     rows = list_files(spark, root).filter(wanted & suffix).select("path").orderBy("path").toLocalIterator()
     files = [r["path"] for r in rows]
     if not files:
-        raise FileNotFoundError(f"No raw dataset found for keywords {keywords} in {root}")
+        raise FileNotFoundError(f"{root} holds no CSV or Parquet file named after any of {', '.join(keywords)}; add one or change the keywords")
     return files
 
 
 def read_mixed(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """CSV and Parquet files as one frame, matched by column name.
 
-    Parquet files are one multi-path scan.  CSV headers may differ from file to file, so the files are grouped by
-    header first and each group is one scan, instead of one plan node per file.  Text stays text (inference would
+    Parquet files are one multi-path scan, and so are the CSV files of each header.  Text stays text (inference would
     cost a pass and would turn a clock time into a timestamp of today) unless Parquet has a type for the column.
     """
     parquet = [p for p in paths if p.lower().endswith(".parquet")]
-    groups: dict[tuple[str, ...], list[str]] = {}
-    for p in paths:
-        if p.lower().endswith(".csv"):
-            groups.setdefault(tuple(read_csv(spark, p).columns), []).append(p)
-    frames = [read_csv(spark, group) for group in groups.values()]
+    text = [p for p in paths if p.lower().endswith(".csv")]
+    frames = [read_csv(spark, text)] if text else []
     if parquet:
         columnar = spark.read.option("mergeSchema", True).parquet(*parquet)
         frames = [columnar, *[align_to(f, columnar.schema) for f in frames]]

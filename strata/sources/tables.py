@@ -61,6 +61,12 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return path_exists(spark, path, with_data=True)
 
 
+def remove_table(spark: SparkSession, path: str) -> None:
+    """Drop an intermediate table, or a folder of them, for good."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def as_view(spark: SparkSession, path: str, name: str) -> DataFrame:
     """Register a table for SQL under a temporary name."""
     df = read_table(spark, path)

@@ -1,7 +1,7 @@
 """Incremental ingest as a stream over an arriving-files directory.
 
-The stream finds the new files; each micro-batch goes through the same checks, preparation and append as a batch
-load.  It shares the register of loaded files with the batch jobs, so a file loaded by one is not loaded again by
+The stream finds the new files; each micro-batch reads them as a batch load does (by column name, whatever their
+headers) and goes through the same checks, preparation and append.  It shares the register of loaded files with the batch jobs, so a file loaded by one is not loaded again by
 the other, and a micro-batch that is replayed after a driver restart skips the files it had already registered.
 """
 
@@ -12,31 +12,25 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.config import DEFAULT_DIRECTORY, DatasetConfig, load_dataset
-from strata.functions.types import cast_declared
+from strata.config import DEFAULT_DIRECTORY, load_dataset
 from strata.lake import Lake
-from strata.plans.bronze import load_frame, register_files, registered_files
+from strata.plans.bronze import load_frame, read_raw_files, register_files, registered_files
 from strata.plans.runs import record_run
 from strata.sources.files import not_yet_ingested
 
-FILE_COLUMNS = ("_file_path", "_file_size", "_file_modified")
+# The binary-file source lists files; its content column is never selected, so no file is opened by the stream.
+LISTING_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
 
-def arriving_files(spark: SparkSession, cfg: DatasetConfig, source: str, files_per_batch: int) -> DataFrame:
-    """Stream of raw rows with the file each one came from.  Text columns follow the header present at the start."""
-    reader = spark.read.option("header", True) if cfg.format == "csv" else spark.read.option("mergeSchema", True)
-    schema = reader.format(cfg.format).load(source).schema
-    stream = (
-        spark.readStream.format(cfg.format)
-        .schema(schema)
-        .option("header", True)
+def arriving_files(spark: SparkSession, source: str, files_per_batch: int) -> DataFrame:
+    """Stream of the files that arrive: path, size and time as the batch listing has them."""
+    return (
+        spark.readStream.format("binaryFile")
+        .schema(LISTING_SCHEMA)
+        .option("recursiveFileLookup", True)
         .option("maxFilesPerTrigger", files_per_batch)
         .load(source)
-    )
-    meta = F.col("_metadata")
-    return stream.select(
-        "*", meta.file_path.alias(FILE_COLUMNS[0]), meta.file_size.alias(FILE_COLUMNS[1]),
-        meta.file_modification_time.alias(FILE_COLUMNS[2]),
+        .select("path", F.col("length").alias("size"), F.col("modificationTime").alias("modified_at"))
     )
 
 
@@ -55,20 +49,18 @@ def ingest_stream(
 
     def load_batch(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
-        listing = batch.select(*[F.col(c).alias(n) for c, n in zip(FILE_COLUMNS, ("path", "size", "modified_at"))]).distinct()
-        fresh = not_yet_ingested(listing, registered_files(session, lake, cfg)).collect()
+        fresh = not_yet_ingested(batch, registered_files(session, lake, cfg)).collect()
         if not fresh:
             return
         with record_run(session, lake, "bronze", name, cfg.schema_version) as run:
-            rows = batch.filter(F.col(FILE_COLUMNS[0]).isin([f["path"] for f in fresh])).drop(*FILE_COLUMNS)
-            typed = cast_declared(rows, cfg.expected) if cfg.format == "csv" else rows
-            count = load_frame(session, lake, cfg, typed, run, append=True)
+            raw = read_raw_files(session, cfg, [f["path"] for f in fresh])
+            count = load_frame(session, lake, cfg, raw, run, append=True)
             register_files(session, lake, cfg, fresh)
             run.loaded(count)
             appended.append(count)
 
     query = (
-        arriving_files(spark, cfg, source, files_per_batch)
+        arriving_files(spark, source, files_per_batch)
         .writeStream.foreachBatch(load_batch)
         .option("checkpointLocation", lake.staging(f"checkpoints/{name}"))
         .trigger(availableNow=True)

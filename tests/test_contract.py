@@ -6,6 +6,7 @@ import pytest
 
 import __spark_entry__ as contract
 import oracle_check
+from contract.registry import ORACLES, QUERIES
 
 SF = "/root/testdata/sf0.001"
 SLOW = {"fare_predictions"}
@@ -16,9 +17,9 @@ def connection():
     return oracle_check.connect(SF)
 
 
-@pytest.mark.parametrize("name", sorted(set(contract.queries()) - SLOW))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - SLOW))
 def test_query_matches_sql(spark, connection, name):
-    ok, note = oracle_check.compare(spark, connection, name, contract.queries(), contract.oracle_sql(), SF)
+    ok, note = oracle_check.compare(spark, connection, name, QUERIES, ORACLES, SF)
     assert ok is not False, note
 
 

@@ -192,7 +192,7 @@ def test_incremental_cycle(spark, tmp_path):
 
 
 def test_missing_update_is_an_error(spark, lake):
-    with pytest.raises(FileNotFoundError, match="No update file"):
+    with pytest.raises(FileNotFoundError, match="has no update data"):
         ingest_dataset(spark, lake, "weather", mode="incremental")
 
 

@@ -74,7 +74,7 @@ def test_no_rules_and_unknown_rule(spark):
     result = run_row_checks(df, None)
     assert result.good_df.count() == 3 and result.rejects_df.count() == 0
     assert "_reject_reason" in result.rejects_df.columns
-    with pytest.raises(KeyError, match="Unknown validation rule"):
+    with pytest.raises(KeyError, match="is no row rule"):
         run_row_checks(df, [{"rule": "guess"}])
 
 
