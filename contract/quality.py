@@ -119,6 +119,17 @@ def validation_summary(spark, sf):
     return rules.validation_summary(rules.run_row_checks(order_lines(spark, sf), RULES), "order_lines")
 
 
+@query("validation_summary_all", LINES_CTE + f""", outcomes AS (
+  SELECT 'order_lines' AS dataset, (SELECT COUNT(*) FROM ranked WHERE rn = 1) AS kept, (SELECT COUNT(*) FROM lines) AS total
+  UNION ALL SELECT 'first_lines', (SELECT COUNT(*) FROM ranked WHERE rn = 1 AND l_linenumber = 1), (SELECT COUNT(*) FROM lines WHERE l_linenumber = 1)
+), counted AS (SELECT * FROM outcomes UNION ALL SELECT 'total', SUM(kept), SUM(total) FROM outcomes)
+SELECT dataset, CAST(kept AS BIGINT) AS kept, CAST(total - kept AS BIGINT) AS rejected, {rounded('100.0 * (total - kept) / total')} AS rejection_rate_pct FROM counted""")
+def validation_summary_all(spark, sf):
+    lines = order_lines(spark, sf)
+    frames = {"order_lines": lines, "first_lines": lines.filter("l_linenumber = 1")}
+    return rules.validation_summaries({name: rules.run_row_checks(frame, RULES) for name, frame in frames.items()})
+
+
 FIRST_SQL = """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity FROM (
   SELECT *, ROW_NUMBER() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_suppkey, l_quantity) AS rn
   FROM lineitem) WHERE rn {}"""

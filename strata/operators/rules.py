@@ -227,7 +227,7 @@ def quality_rules(
 
 
 def validation_summary(result: ValidationResult, dataset: str) -> DataFrame:
-    """Rows per outcome and one total row: kept, rejected and the rejection rate in percent."""
+    """One row: rows kept and rejected, and the rejection rate in percent."""
     outcomes = result.good_df.select(F.lit("").alias("reason")).unionByName(
         result.rejects_df.select(F.col(REASON).alias("reason"))
     )
@@ -242,6 +242,14 @@ def validation_summary(result: ValidationResult, dataset: str) -> DataFrame:
     )
 
 
+def validation_summaries(results: Mapping[str, ValidationResult]) -> DataFrame:
+    """A row per dataset as :func:`validation_summary` has it, and a row named ``total``."""
+    rows = reduce(DataFrame.unionByName, [validation_summary(result, name) for name, result in results.items()])
+    total = rows.agg(F.sum("kept").alias("kept"), F.sum("rejected").alias("rejected"))
+    rate = F.round(F.try_divide(F.lit(100.0) * F.col("rejected"), F.col("kept") + F.col("rejected")), 2)
+    return rows.unionByName(total.select(F.lit("total").alias("dataset"), "kept", "rejected", rate.alias("rejection_rate_pct")))
+
+
 def reject_counts(result: ValidationResult) -> DataFrame:
     """Rejected rows per reason text."""
     return result.rejects_df.groupBy(F.col(REASON).alias("reason")).agg(F.count("*").alias("records"))

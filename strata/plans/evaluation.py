@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from strata.config import DEFAULT_DIRECTORY, load_dataset
 from strata.lake import Lake
 from strata.operators.compare import same_rows
-from strata.operators.rules import run_row_checks, run_schema_checks
+from strata.operators.rules import run_row_checks, run_schema_checks, validation_summaries
 from strata.operators.transforms import to_silver
 from strata.plans.bronze import ingest_all, ingest_dataset, read_raw
 from strata.plans.gold import INTEGRATED_BY_BOROUGH, build_products, integrate
@@ -64,6 +64,8 @@ class Comparison:
     optimized_seconds: float
     same_result: bool
     storage_bytes: int | None = None
+    baseline_plan: str | None = None
+    optimized_plan: str | None = None
 
     @property
     def saved_pct(self) -> float:
@@ -72,19 +74,26 @@ class Comparison:
         return 100.0 * (self.baseline_seconds - self.optimized_seconds) / self.baseline_seconds
 
 
+def plan_text(df: DataFrame) -> str:
+    """The formatted physical plan."""
+    jvm = df.sparkSession._jvm
+    return df._jdf.queryExecution().explainString(jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+
+
 def compare_frames(name: str, baseline: DataFrame, optimized: DataFrame, storage: str | None = None) -> Comparison:
     """Time two forms of one query and check that they return the same rows."""
     seconds = run_fully(baseline), run_fully(optimized)
     if not same_rows(baseline, optimized):
         raise AssertionError(f"{name}: the optimized form returns other rows than the baseline")
     size = None if storage is None else storage_report(baseline.sparkSession, {name: storage}).first()["bytes"]
-    return Comparison(name, *seconds, True, size)
+    return Comparison(name, *seconds, True, size, plan_text(baseline), plan_text(optimized))
 
 
 def compare_adaptive(spark: SparkSession, name: str, build: Callable[[], DataFrame]) -> Comparison:
     """One query with adaptive execution off and on.  The plan is rebuilt in each setting."""
     with session_conf(spark, {"spark.sql.adaptive.enabled": "false"}):
-        off = run_fully(build())
+        without = build()
+        off, off_plan = run_fully(without), plan_text(without)
     with session_conf(
         spark, {"spark.sql.adaptive.enabled": "true", "spark.sql.adaptive.coalescePartitions.enabled": "true"}
     ):
@@ -94,11 +103,11 @@ def compare_adaptive(spark: SparkSession, name: str, build: Callable[[], DataFra
         equal = same_rows(build(), with_aqe)
     if not equal:
         raise AssertionError(f"{name}: adaptive execution changed the result")
-    return Comparison(name, off, on, equal)
+    return Comparison(name, off, on, equal, None, off_plan, plan_text(with_aqe))
 
 
 def broadcast_join(facts: DataFrame, dimension: DataFrame, key: str, dimension_key: str) -> DataFrame:
-    """Inner join with the dimension broadcast if it is proven small."""
+    """Inner join; Spark broadcasts the dimension if its own estimate allows it."""
     return facts.join(dimension, facts[key] == dimension[dimension_key])
 
 
@@ -112,9 +121,8 @@ def hour_context_join(trips: DataFrame, hourly: DataFrame) -> DataFrame:
     paid = trips.filter((F.col("fare_amount") > 0) & (F.col("trip_distance") > 0)).select(
         "pickup_date", "pickup_hour", "fare_amount", "trip_distance"
     )
-    side = hourly
     match = (paid["pickup_date"] == hourly["observation_date"]) & (paid["pickup_hour"] == hourly["observation_hour"])
-    return paid.join(side, match, "inner")
+    return paid.join(hourly, match, "inner")
 
 
 def reuse_experiment(shared: DataFrame, branches: Iterable[Callable[[DataFrame], DataFrame]]) -> tuple[float, float]:
@@ -200,6 +208,18 @@ def validation_overhead(
     return out
 
 
+def validation_report(
+    spark: SparkSession, lake: Lake, datasets: Iterable[str] = INCREMENTAL_DATASETS, config_dir=DEFAULT_DIRECTORY
+) -> DataFrame:
+    """Rows kept and rejected by the row checks of each dataset's bronze table, and in total."""
+    results = {}
+    for name in datasets:
+        cfg = load_dataset(name, config_dir)
+        bronze = read_table(spark, lake.bronze(cfg.bronze.table))
+        results[name] = run_row_checks(to_silver(bronze, name), cfg.silver.validation)
+    return validation_summaries(results)
+
+
 def logging_overhead(spark: SparkSession, lake: Lake, samples: int = 3, steps: int = 12) -> dict[str, float]:
     """Seconds per run-log append, and what a run of ``steps`` steps pays for it."""
     seconds = []

@@ -7,18 +7,21 @@ very large source is itself a distributed write.
 from __future__ import annotations
 
 import math
+import uuid
 from collections.abc import Mapping
 from dataclasses import dataclass
 from datetime import date, datetime
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.config import DEFAULT_DIRECTORY, load_dataset
 from strata.functions.numeric import clamp, pm25_to_aqi, relative_noise
 from strata.functions.temporal import date_and_time, shift_seconds, timestamp_from_parts
 from strata.lake import Lake
 from strata.operators.sampling import fraction_sample, random_rows
-from strata.sources.tables import write_export
+from strata.sources.tables import remove_table, write_export
 
 # Fractions that make sense for an update, the year taken, noise and limits per measure.
 NEW_FRACTION = (0.05, 0.10)
@@ -98,16 +101,20 @@ def shifted_trips(sample: DataFrame, shift: int, seed: int) -> DataFrame:
 
 
 def trips_update(
-    trips: DataFrame, new_fraction: float = 0.07, duplicate_fraction: float = 0.015, seed: int = 42
+    trips: DataFrame,
+    new_fraction: float = 0.07,
+    duplicate_fraction: float = 0.015,
+    seed: int = 42,
+    bounds: tuple[date, date] = TRIP_YEAR,
 ) -> tuple[DataFrame, DataFrame, int]:
-    """New trips after the latest one, exact copies of existing ones, and the number of source rows."""
+    """New trips after the latest one, exact copies of existing ones, and the number of source rows within ``bounds``."""
     _check("new_fraction", new_fraction, NEW_FRACTION)
     _check("duplicate_fraction", duplicate_fraction, DUPLICATE_FRACTION)
-    valid = trips_in_year(trips)
+    valid = trips_in_year(trips, bounds)
     pickup = F.unix_timestamp(F.col("tpep_pickup_datetime").cast("timestamp"))
     total, latest = valid.agg(F.count(F.lit(1)), F.max(pickup)).first()
     if latest is None:
-        raise ValueError("No valid pickup timestamps in the source")
+        raise ValueError(f"no trip starts between {bounds[0]} and {bounds[1]}, so there is nothing to follow")
     sample = fraction_sample(valid, new_fraction, seed)
     earliest = sample.agg(F.min(pickup)).first()[0]
     shift = latest - (earliest if earliest is not None else latest) + 3600
@@ -169,8 +176,10 @@ def _write_csv(df: DataFrame, path: str) -> None:
     df.hint("rebalance").write.mode("overwrite").option("header", True).csv(path)
 
 
-def run_all_generators(spark: SparkSession, lake: Lake, seed: int = 42) -> list[UpdateReport]:
-    """Generate the three updates into the raw area and report on each.
+def run_all_generators(
+    spark: SparkSession, lake: Lake, seed: int = 42, config_dir: Path | str = DEFAULT_DIRECTORY
+) -> list[UpdateReport]:
+    """Generate the three updates where the configuration of their datasets expects them, and report on each.
 
     The figures are read from the written update, so they describe exactly what was stored.
     """
@@ -179,10 +188,11 @@ def run_all_generators(spark: SparkSession, lake: Lake, seed: int = 42) -> list[
     def raw_csv(path: str) -> DataFrame:
         return spark.read.option("header", True).csv(lake.raw(path))
 
-    trips = spark.read.parquet(lake.raw("taxi_trips/yellow"))
+    declared = {name: load_dataset(name, config_dir) for name in ("taxi_trips", "weather", "air_quality")}
+    trips = spark.read.parquet(lake.raw(declared["taxi_trips"].path))
     new, copies, total = trips_update(trips, seed=seed)
-    path = lake.raw("taxi_trips/yellow_tripdata_update.parquet")
-    staged = lake.staging("trips_update")
+    path = lake.raw(declared["taxi_trips"].update_path)
+    staged = lake.staging(f"trips_update-{uuid.uuid4().hex}")
     write_export(new.withColumn("_new", F.lit(True)).unionByName(copies.withColumn("_new", F.lit(False))), staged)
     tagged = spark.read.parquet(staged)
     write_export(tagged.drop("_new"), path)
@@ -192,19 +202,20 @@ def run_all_generators(spark: SparkSession, lake: Lake, seed: int = 42) -> list[
         F.max(F.when(F.col("_new"), pickup)),
     ).first()
     reports.append(UpdateReport("taxi_trips", path, total, fresh, repeats, start, end))
+    remove_table(spark, staged)
 
-    weather = raw_csv("weather/weather.csv")
-    path = lake.raw("weather/weather_update.csv")
+    weather = raw_csv(declared["weather"].path)
+    path = lake.raw(declared["weather"].update_path)
     _write_csv(weather_update(weather, seed=seed), path)
-    written = raw_csv("weather/weather_update.csv")
+    written = raw_csv(declared["weather"].update_path)
     at = timestamp_from_parts("year", "month", "day", "hour")
     rows, start, end = written.agg(F.count(F.lit(1)), F.min(at), F.max(at)).first()
     reports.append(UpdateReport("weather", path, weather.count(), rows, 0, start, end))
 
-    air = raw_csv("air_quality/hourly_88101_2024.csv")
-    path = lake.raw("air_quality/hourly_88101_update.csv")
+    air = raw_csv(declared["air_quality"].path)
+    path = lake.raw(declared["air_quality"].update_path)
     _write_csv(air_quality_update(air, seed=seed), path)
-    written = raw_csv("air_quality/hourly_88101_update.csv")
+    written = raw_csv(declared["air_quality"].update_path)
     at = date_and_time("Date GMT", "Time GMT")
     rows, start, end = written.agg(F.count(F.lit(1)), F.min(at), F.max(at)).first()
     own = air.filter(F.col("State Code").try_cast("int") == STATE_CODE).count()

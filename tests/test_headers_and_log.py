@@ -104,3 +104,39 @@ def test_appends_side_by_side_lose_nothing(spark, tmp_path):
     with ThreadPoolExecutor(6) as pool:
         list(pool.map(lambda i: runs.append_run(spark, lake, runs.Run("gold", f"d{i}"), 0.1), range(12)))
     assert runs.load_runs(spark, lake).select("dataset").distinct().count() == 12
+
+
+def test_small_table_helpers(spark, tmp_path):
+    from strata.sources.tables import as_view, preview
+
+    path = write_table(spark.range(5), str(tmp_path / "t"))
+    as_view(spark, path, "five")
+    assert spark.sql("SELECT sum(id) FROM five").first()[0] == 10
+    assert preview(read_table(spark, path), 2)[0] == 5
+
+
+def test_a_slice_of_a_product_is_replaced(spark, tmp_path):
+    path = str(tmp_path / "p")
+    rows = spark.createDataFrame([("a", 1), ("b", 1)], "day string, n int")
+    gold.write_product(rows, path, ("day",))
+    gold.write_product_slice(spark.createDataFrame([("b", 2)], "day string, n int"), path, ("day",))
+    assert {(r["day"], r["n"]) for r in read_table(spark, path).collect()} == {("a", 1), ("b", 2)}
+
+
+def test_commands_run_in_utc(spark, tmp_path, monkeypatch):
+    from strata import jobs
+
+    raw_lake.write_csv(Lake(str(tmp_path)).raw("weather/weather.csv"), *OLD)
+    jobs.main(["--lake", str(tmp_path), "bronze", "--dataset", "weather", "--mode", "full"])
+    assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
+    jobs.main(["--lake", str(tmp_path), "report", "--rows", "1"])
+
+
+def test_summary_over_datasets(spark):
+    from strata.operators.rules import run_row_checks, validation_summaries
+
+    rows = spark.createDataFrame([(1, 1.0), (1, 2.0), (2, None)], "k int, v double")
+    rules = [{"rule": "not_null", "columns": ["v"]}, {"rule": "primary_key", "columns": ["k"]}]
+    results = {"a": run_row_checks(rows, rules), "b": run_row_checks(rows.filter("k = 2"), rules)}
+    found = {r["dataset"]: (r["kept"], r["rejected"]) for r in validation_summaries(results).collect()}
+    assert found == {"a": (1, 2), "b": (0, 1), "total": (1, 3)}
