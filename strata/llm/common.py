@@ -27,6 +27,8 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path below the shared folder of ``spark.checkpoint.dir``; where that is unset, below a folder of this
     machine, which then becomes the setting (local sessions only)."""
     root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     if not root:
         root = tempfile.mkdtemp(prefix="strata-llm-")
         spark.conf.set("spark.checkpoint.dir", root)

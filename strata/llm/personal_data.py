@@ -16,7 +16,6 @@ A null text counts as empty.  Offsets are code points, ends exclusive.
 from __future__ import annotations
 
 import hashlib
-import math
 import random
 import re
 from collections.abc import Iterator
@@ -26,7 +25,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm import common
 
 #: Kinds, in the order in which spans that start together are listed.
 KINDS = ("email", "ip", "card", "phone")

@@ -489,6 +489,17 @@ def test_urls(spark):
     assert url_filter.verdicts(table.limit(0)).count() == 0
 
 
+def test_urls_match_sql(spark):
+    import duckdb
+
+    connection = duckdb.connect()
+    connection.execute(f"CREATE VIEW pages AS SELECT * FROM '{SF}/pages.parquet'")
+    cursor = connection.execute(url_filter.oracle_sql())
+    names = [d[0] for d in cursor.description]
+    found = url_filter.verdicts(common.read_table(spark, SF, "pages")).select(*names).collect()
+    assert Counter(map(tuple, found)) == Counter(cursor.fetchall())
+
+
 def test_literals_are_tokens_of_what_their_rule_fits():
     fitting = [
         "http://free-bets.x.org", "http://a.cheap-pills.x/", "http://casino.x", "http://poker.x", "http://bets-bonus.x", "http://adult-cams.x", "http://xxx.y",
