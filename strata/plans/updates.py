@@ -8,7 +8,6 @@ from __future__ import annotations
 
 import math
 import uuid
-from collections.abc import Mapping
 from dataclasses import dataclass
 from datetime import date, datetime
 from pathlib import Path
