@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-
+from pyspark.sql import types as T
 
 #: Kinds, in the order in which spans that start together are listed.
 KINDS = ("email", "ip", "card", "phone")
@@ -380,10 +380,12 @@ def redacted(text: str, spans: list[Span]) -> str:
 
 
 def redact(docs: DataFrame, model: Model | None = None) -> DataFrame:
-    """``docs`` with personal data in ``text`` replaced by its kind; ``n_chars``, where there is one, follows the text."""
+    """``docs`` with personal data in ``text`` replaced by its kind; a whole number ``n_chars`` follows a changed text."""
     model = model or fitted(docs)
     names, schema = docs.columns, docs.schema
     text_at = names.index("text")
+    whole = "n_chars" in names and isinstance(schema["n_chars"].dataType, (T.IntegerType, T.LongType))
+    sizes_at = names.index("n_chars") if whole else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -393,10 +395,11 @@ def redact(docs: DataFrame, model: Model | None = None) -> DataFrame:
                 base = base_spans(text) if text else []
                 spans = base + added_spans(text, base, model) if text else []
                 texts.append(redacted(text, spans) if spans else text)
+            if sizes_at is not None:
+                old, sizes = columns[text_at].to_pylist(), columns[sizes_at].to_pylist()
+                new = [n if n is None or a == b else len(b) for n, a, b in zip(sizes, old, texts, strict=True)]
+                columns[sizes_at] = pa.array(new, columns[sizes_at].type)
             columns[text_at] = pa.array(texts, columns[text_at].type)
             yield pa.record_batch(columns, names=names)
 
-    changed = docs.mapInArrow(run, schema)
-    if "n_chars" in names:
-        changed = changed.withColumn("n_chars", F.when(F.col("n_chars").isNotNull(), F.char_length("text")).cast(schema["n_chars"].dataType))
-    return changed
+    return docs.mapInArrow(run, schema)
