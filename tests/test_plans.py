@@ -11,6 +11,7 @@ import __spark_entry__  # noqa: F401 - registers the queries
 from contract import quality, standins
 from contract.registry import QUERIES
 from strata.operators import keys
+from strata.operators.compare import same_rows
 from strata.operators.lookup import auto_broadcast_bytes
 from strata.plans import analytics
 
@@ -74,3 +75,40 @@ def test_threshold_spellings(spark):
             assert auto_broadcast_bytes(df) == size
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+@pytest.mark.parametrize("build", [analytics.pm25_demand, analytics.peak_hours_by_weekday, analytics.monthly_trends])
+def test_folded_queries_gather_no_rows_in_one_task(spark, build):
+    plan = plan_of(build(standins.integrated(spark, SF)))
+    assert "REPARTITION_BY_NUM" not in plan and "distinct" not in plan
+
+
+def test_hourly_tables_are_computed_once(spark, tmp_path):
+    """The wide write reads the staged hourly tables, not the readings."""
+    from strata.operators.enrich import context_tables, enrich
+    from strata.sources.tables import read_table, write_table
+
+    trips, weather, air, zones = (
+        standins.silver_trips(spark, SF), standins.silver_weather(spark, SF), standins.silver_air_quality(spark, SF),
+        standins.silver_zones(spark, SF),
+    )
+    zones, *hourly = context_tables(weather, air, zones)
+    staged = [read_table(spark, write_table(h, str(tmp_path / f"h{i}"))) for i, h in enumerate(hourly)]
+    plan = plan_of(enrich(trips, zones, *staged))
+    assert "Aggregate" not in plan and plan.count(str(tmp_path)) >= 2
+
+
+def test_a_hot_key_is_looked_up_in_parts(spark):
+    """Without broadcast the rows of a hot key go to several tasks, and the result is the same."""
+    rows = spark.range(4000).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("k"), F.col("id").alias("v"))
+    usual = keys.repeats_per_key(rows, ["k"])
+    former = {c: spark.conf.get(c) for c in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        apart = keys.repeats_per_key(rows, ["k"])
+        assert "_part" in plan_of(apart)
+        assert same_rows(usual, apart) and apart.count() == usual.count() > 1300
+    finally:
+        for name, value in former.items():
+            spark.conf.set(name, value)
