@@ -14,7 +14,7 @@ from struct import Struct
 import numpy as np
 
 END_ID = 2
-CACHE_CHUNKS = 400_000
+CACHE_CHUNKS = 550_000
 
 CUT = re.compile(r" (?=\S)")
 UNSAFE_SPACE = re.compile(r" (?:\s|$)")
