@@ -8,7 +8,10 @@ boundaries and kinds together.
 
 The model is trained on a bounded sample of the documents: plain spans are its positive examples, each also in forms
 with the plain mark removed, and all else in their regions is negative, as are made-up
-dates, ranges and quantities.
+dates, ranges and quantities.  Addresses with other ways to write their marks and other host ends are made up, as is prose
+with an at and a dot.  What the table itself spells out is not used: nobody has labelled it.
+
+Whether a name, an at and a host in a row are an address is the model's decision; a host may end in any label of letters.
 
 A null text counts as empty.  Offsets are code points, ends exclusive.
 """
@@ -40,17 +43,30 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 DIGIT_REGION = re.compile(r"[+(]?[0-9](?:[\x20().\-/]{0,2}[0-9])*")
 LEAST_DIGITS = 7
 AT, DOT = r"(?:@|\s?[\[({<]\s?at\s?[\])}>]\s?|\sat\s)", r"(?:\.|\s?[\[({<]\s?dot\s?[\])}>]\s?|\sdot\s)"
-#: Last parts of host names that a spelled-out email may have.
-HOST_ENDS = "com|net|org|edu|gov|info|biz|io|de|fr|es|uk|eu|ch|at|it|nl"
-EMAIL_REGION = re.compile(
-    rf"[A-Za-z0-9][A-Za-z0-9._%+-]{{0,63}}{AT}[A-Za-z0-9-]{{1,63}}(?:{DOT}[A-Za-z0-9-]{{1,63}})*?{DOT}(?:{HOST_ENDS})(?![A-Za-z0-9-])",
+AT_MARK = re.compile(AT, re.IGNORECASE)
+DOT_MARK = re.compile(DOT, re.IGNORECASE)
+NAME_BEFORE = re.compile(r"[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}\Z")
+#: A host's last part may be any letters, two at least, or an encoded international one.
+HOST_AFTER = re.compile(
+    rf"[A-Za-z0-9-]{{1,63}}(?:{DOT}[A-Za-z0-9-]{{1,63}})*{DOT}(?:xn--[A-Za-z0-9-]{{1,59}}|[A-Za-z]{{2,63}})(?![A-Za-z0-9-])",
     re.IGNORECASE,
 )
-SPELLED = re.compile(r"[\[({<]\s?at\s?[\])}>]|\sdot\s", re.IGNORECASE)
+MORE_HOST = re.compile(rf"{DOT}[A-Za-z0-9-]", re.IGNORECASE)
+#: Fixed values, for features only: well-known last parts of hosts, and words that are seldom parts of an address.
+HOST_ENDS = frozenset("com net org edu gov mil int info biz io dev app co de fr es uk eu ch at it nl be pl ca jp cn in ru br au se no dk fi cz pt ie us kr nz za mx ar tr ua gr hu ro il sg".split())
+PROSE_WORDS = frozenset(
+    "a all an and any are as be but by each every first for from had has he her here his home if in is it its last least look looked "
+    "me met midnight my night no noon of on once one or our she so some that the their them then there these they this those to up us "
+    "was we were what when which who will with you your aim are arrive arrived available browse buy found go hosted is live look more "
+    "now online page point published read see site sold start stared stay visit website work works".split()
+)
 TOKEN = re.compile(r"[A-Za-z]+|[0-9]+|\s+|[^A-Za-z0-9\s]")
 CUE = re.compile(r"(tel|phone|call|fax|mobile|card|visa|credit|ip|host|address|server|mail|contact)\W*\Z", re.IGNORECASE)
 
-MOST_TOKENS = 24
+MAIL_CUE = re.compile(r"(?:mail|contact|reach|write|ask|address|send)(?:\s+(?:me|us|him|her|them|to|is))*\W*\Z", re.IGNORECASE)
+
+#: Tokens of a candidate span at most; of one with an at, whose spelled marks take five tokens each.
+MOST_TOKENS, MOST_MAIL_TOKENS = 24, 64
 #: Documents and regions to learn from, rounds, rate, penalty; score by which a span must beat leaving it out.
 SAMPLE, REGIONS, ROUNDS, LEARNING_RATE, PENALTY, MARGIN = 4000, 600, 15, 0.3, 1e-3, 1.0
 
@@ -104,11 +120,21 @@ def listed(spans: list[Span]) -> str:
 # --- regions and features --------------------------------------------------------------------------------------
 
 
+def email_regions(text: str) -> list[tuple[int, int]]:
+    """Where a name, an at and a host stand in a row, plain or spelled out; whatever else the text holds."""
+    out, at, done = [], 0, 0
+    while mark := AT_MARK.search(text, at):
+        at = mark.start() + 1
+        if host := HOST_AFTER.match(text, mark.end()):
+            if name := NAME_BEFORE.search(text, max(done, mark.start() - 64), mark.start()):
+                out.append((name.start(), host.end()))
+                at = done = host.end()
+    return out
+
+
 def regions(text: str) -> list[tuple[int, int]]:
     out = [m.span() for m in DIGIT_REGION.finditer(text) if m.end() - m.start() >= LEAST_DIGITS and len(digits_of(m[0])) >= LEAST_DIGITS]
-    if "@" in text or SPELLED.search(text):
-        out += [m.span() for m in EMAIL_REGION.finditer(text)]
-    return merge(out)
+    return merge(out + email_regions(text))
 
 
 def merge(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -141,9 +167,35 @@ def span_features(text: str, start: int, end: int) -> list[str]:
         out.append(f"bytes{all(int(g) <= 255 for g in groups)}")
     if cue := CUE.search(text[max(0, start - 16) : start]):
         out.append(f"cue{cue[1].lower()}")
+    if mark := AT_MARK.search(span):
+        out += address_features(text, start, end, mark)
     return out
 
 
+def spelling(mark: str) -> str:
+    """How an at or a dot is written: plain, in brackets or as a word."""
+    return "plain" if mark in "@." else "bracket" if mark.strip()[0] in "[({<" else "word"
+
+
+def address_features(text: str, start: int, end: int, mark: re.Match) -> list[str]:
+    """Features of a candidate span as an address: its marks, the host's end, words of prose, what it leaves out."""
+    name, host = text[start : start + mark.start()], text[start + mark.end() : end]
+    marks, labels = DOT_MARK.findall(host), [label.lower() for label in DOT_MARK.split(host)]
+    formed = bool(NAME_BEFORE.match(name)) and HOST_AFTER.fullmatch(host) is not None
+    at, dot = spelling(mark[0]), "-".join(sorted({spelling(m) for m in marks}))
+    last = labels[-1]
+    ending = "known" if last in HOST_ENDS else "prose" if last in PROSE_WORDS else "two" if len(last) == 2 else "letters"
+    prose = sum(part in PROSE_WORDS for part in (name.lower(), *labels[:-1]))
+    marked = not name.isalpha()
+    more = bool(MORE_HOST.match(text, end))
+    return [
+        f"formed{formed}", f"address {at} {dot}", f"address {at} {dot} {marked}", f"ending {ending}", f"ending {at} {dot} {ending}",
+        f"prose{min(prose, 2)}", f"prose {at} {dot} {prose > 0 or ending == 'prose'}", f"more{more}", f"more {ending} {more}",
+        f"cut{text[start - 1 : start] in {*'._%+-'} if start else False}", f"mailcue {at} {dot} {bool(MAIL_CUE.search(text[max(0, start - 24) : start]))}",
+        f"sentence {last != text[end - len(last) : end] and dot == 'plain' and at == 'word'}",
+    ]
+
+
 def candidates(text: str, start: int, end: int) -> tuple[list[int], list[tuple[int, int]]]:
     """Boundaries of the tokens of a region, and the candidate spans as pairs of numbers of boundaries."""
     tokens = list(TOKEN.finditer(text, start, end))
@@ -154,8 +206,10 @@ def candidates(text: str, start: int, end: int) -> tuple[list[int], list[tuple[i
     for i, token in enumerate(tokens):
         if not (content[i] or token[0] in "+("):
             continue
-        for j in range(i + 1, min(len(tokens), i + MOST_TOKENS) + 1):
-            if content[j - 1] and (digits[j] - digits[i] >= LEAST_DIGITS or re.search(AT, text[bounds[i] : bounds[j]], re.I)):
+        for j in range(i + 1, min(len(tokens), i + MOST_MAIL_TOKENS) + 1):
+            if content[j - 1] and (
+                j <= i + MOST_TOKENS and digits[j] - digits[i] >= LEAST_DIGITS or AT_MARK.search(text, bounds[i], bounds[j])
+            ):
                 out.append((i, j))
     return bounds, out
 
@@ -171,9 +225,9 @@ class Model:
         self.steps = np.zeros((len(KINDS) + 1, len(KINDS) + 1))
 
     def scores(self, features: list[str]) -> list[float]:
-        """Score of each kind; an email needs an at and a dot, an address its three dots."""
+        """Score of each kind; an email needs a name, an at and a host, an address its three dots."""
         get = self.weights.get
-        able = ("atTrueTrue" in features, "dots3" in features, True, True)
+        able = ("formedTrue" in features, "dots3" in features, True, True)
         return [sum(get((k, f), 0.0) for f in features) if ok else -np.inf for k, ok in enumerate(able, 1)]
 
     def best(self, n: int, spans: list[tuple[int, int]], scores: list[list[float]]) -> list[tuple[int, int, int]]:
@@ -269,6 +323,39 @@ def plain_numbers(draw: random.Random) -> tuple[str, int, int, None]:
     return f"and then {form} of it", 9, 9 + len(form), None
 
 
+def spelled_address(draw: random.Random) -> tuple[str, int, int, str]:
+    """A made-up address in a text, with its marks written in one of many ways and any host's end."""
+    syllables = "ka lo mi ne ru sa te vi zo dan per lis mor en ti ga".split()
+    word = lambda low=1: "".join(draw.choices(syllables, k=draw.randint(low, 3)))
+    end = draw.choice([draw.choice(sorted(HOST_ENDS)), "".join(draw.choices("abcdefghijklmnopqrstuvwxyz", k=2)), word(2)])
+    name = draw.choice([word(2), f"{word()}.{word()}", f"{word()}{draw.randint(1, 99)}", f"{word()}_{word()}"])
+    at, dot = draw.choice([
+        (" [at] ", " [dot] "), ("[at]", "[dot]"), (" (at) ", " (dot) "), ("(at)", "(dot)"), ("(at)", "."), (" [at] ", "."), ("@", " dot "), (" {at} ", " {dot} "),
+        (" at ", " dot "), (" at ", " dot "), (" at ", " dot "), (" AT ", " DOT "), (" at ", "."), (" at ", "."),
+    ])
+    address = name + at + dot.join([word(2) for _ in range(draw.choice([1, 1, 2, 3]))] + [end])
+    before = draw.choice(["mail me: ", "mail ", "write to ", "contact ", "and then ", "by ", "", f"{word()} "])
+    return before + address + draw.choice([" please", ". We", ", or", "", "\n", f" {word()}"]), len(before), len(before) + len(address), "email"
+
+
+def plain_words(draw: random.Random) -> tuple[str, int, int, None]:
+    """Prose with an at and a dot that is no address."""
+    word = lambda many: draw.choice(many.split())
+    verb, thing = word("look looked met arrived arrive stay was available hosted aim point stared found see live visit online"), word("home noon night work school example github lunch")
+    form = draw.choice([
+        f"{verb} at {word('the a this that each every')} dot {word('in on of and com to the at is for matrix product')}",
+        f"{verb} at {thing}.{word('Then We It The He They In And So')}", f"{verb} at {thing}.{word('com org net de pl ca')}",
+        f"{verb} at {word('one first once last')} dot {word('and in of then')}",
+    ])
+    return f"and then {form} of it", 9, 9 + len(form), None
+
+
+def spelled_out(text: str) -> bool:
+    """Whether a region may be a spelled-out address; nobody has said if it is one, so it teaches nothing."""
+    mark = AT_MARK.search(text)
+    return mark is not None and (spelling(mark[0]) != "word" or any(spelling(m) != "plain" for m in DOT_MARK.findall(text, mark.end())))
+
+
 def train(texts: list[str]) -> Model:
     """Fit a model to the regions of some texts; at most ``REGIONS`` of them with and as many without plain spans."""
     draw = random.Random(11)
@@ -283,14 +370,15 @@ def train(texts: list[str]) -> Model:
                 local = text[max(0, low - 30) : high + 30]
                 shift = max(0, low - 30)
                 with_span += [(t, a, b, kind) for t, a, b in views(local, start - shift, end - shift, kind)]
-            elif not crossing:
+            elif not crossing and not spelled_out(text[low:high]):
                 shift = max(0, low - 30)
                 without.append((text[shift : high + 30], low - shift, high - shift, None))
     draw.shuffle(with_span)
     without = [plain_numbers(draw) for _ in range(REGIONS // 3)] + without
     draw.shuffle(without)
+    made = [make(draw) for make in (spelled_address, plain_words) for _ in range(REGIONS // 2)]
     examples = []
-    for text, start, end, kind in with_span[:REGIONS] + without[:REGIONS]:
+    for text, start, end, kind in with_span[:REGIONS] + without[:REGIONS] + made:
         low, high = next(((a, b) for a, b in regions(text) if a <= start and end <= b), (start, end))
         bounds, spans = candidates(text, low, high)
         gold = {(i, j): KINDS.index(kind) + 1 for i, j in spans if kind and (bounds[i], bounds[j]) == (start, end)}

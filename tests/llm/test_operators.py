@@ -390,6 +390,22 @@ def test_the_model_adds_what_patterns_miss(pii_model):
         assert personal_data.added_spans(text, personal_data.base_spans(text), pii_model) == []
 
 
+def test_addresses_with_any_host_end_are_found(pii_model):
+    for address in (
+        "jane [at] firma [dot] pl", "jane(at)example.ca", "jane at mail dot example dot jp", "jo.doe [at] mail [dot] example [dot] co [dot] uk",
+        "jane[at]firma[dot]museum", "jane at example.com",
+    ):
+        text = f"mail {address} please"
+        assert personal_data.email_regions(text) and personal_data.added_spans(text, [], pii_model) == [(5, 5 + len(address), "email")], address
+    for text in ("we look at the dot on the map", "point at the dot in the middle", "stay at home.We left", "available at example.com today"):
+        assert personal_data.added_spans(text, [], pii_model) == [], text
+
+
+def test_a_region_does_not_depend_on_the_rest_of_its_text():
+    for rest in ("", " and a@b.example", " (at)", " a dot b"):
+        assert (5, 24) in personal_data.email_regions("mail jane at example.com" + rest)
+
+
 def test_personal_data_tables(docs, nothing, pii_model):
     found = personal_data.find(clashing(docs, "spans"), pii_model).collect()
     assert Counter(r["base_sha256"] for r in found) == Counter(hashlib.sha256(brute_spans(r["text"] or "").encode()).hexdigest() for r in docs.collect())
