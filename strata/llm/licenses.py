@@ -9,6 +9,9 @@ Null and empty texts have no licence; a canonical form without words matches not
 
 from __future__ import annotations
 
+import re
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,17 +40,97 @@ THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND
 APACHE_NOTICE = """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0
 
 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License."""
+MPL_NOTICE = """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."""
+
+#: Whole licences in this folder, a file for each, named by licence.
+TEXTS = Path(__file__).with_name("license_texts")
+#: What follows the terms in some files: advice on using the licence, which copies often leave out.
+AFTER_TERMS = re.compile(r"END OF TERMS AND CONDITIONS")
+#: Titles of texts above, put before them.
+TITLES = {
+    "MIT": ["MIT License", "The MIT License", "The MIT License (MIT)", "Expat License"], "ISC": ["ISC License", "The ISC License", "ISC License (ISC)"],
+    "BSD-2-Clause": ["BSD 2-Clause License", "The BSD 2-Clause License", 'BSD 2-Clause "Simplified" License', "Simplified BSD License", "BSD License"],
+    "BSD-3-Clause": [
+        "BSD 3-Clause License", "The BSD 3-Clause License", 'BSD 3-Clause "New" or "Revised" License', "New BSD License", "Modified BSD License", "BSD License",
+    ],
+}
+#: Names by which notices call a licence.
+NAMES = {
+    "Apache-2.0": ["Apache License, Version 2.0", "Apache License 2.0", "Apache 2.0 License", "Apache-2.0 License", "Apache-2.0"],
+    "MIT": ["MIT License", "MIT"], "ISC": ["ISC License", "ISC"], "BSD": ["BSD License", "BSD"],
+    "BSD-2-Clause": ["BSD 2-Clause License", "2-Clause BSD License", "Simplified BSD License", "BSD-2-Clause"],
+    "BSD-3-Clause": ["BSD 3-Clause License", "3-Clause BSD License", "New BSD License", "Modified BSD License", "BSD-3-Clause"],
+    "MPL-2.0": ["Mozilla Public License, version 2.0", "Mozilla Public License, v. 2.0", "Mozilla Public License 2.0", "MPL 2.0", "MPL-2.0"],
+    "MPL-1.1": ["Mozilla Public License, version 1.1", "Mozilla Public License 1.1", "MPL 1.1", "MPL-1.1"],
+    # Notices without a version name the family only.
+    "MPL": ["Mozilla Public License", "MPL"], "GPL": ["GNU General Public License", "GNU GPL", "GPL"],
+    "LGPL": ["GNU Lesser General Public License", "GNU LGPL", "LGPL"], "Artistic-1.0": ["Artistic License"], "CC0-1.0": ["CC0 1.0", "CC0 1.0 Universal", "CC0"],
+    "CC-BY-4.0": ["CC BY 4.0", "Creative Commons Attribution 4.0 International License"],
+    "CC-BY-SA-4.0": ["CC BY-SA 4.0", "Creative Commons Attribution-ShareAlike 4.0 International License"],
+    "CC-BY-NC-4.0": ["CC BY-NC 4.0", "Creative Commons Attribution-NonCommercial 4.0 International License"],
+}
+for _short, _long, _versions in (
+    ("GPL", "GNU General Public License", "1.0 2.0 3.0"), ("LGPL", "GNU Lesser General Public License", "2.1 3.0"),
+    ("LGPL", "GNU Library General Public License", "2.0"), ("GFDL", "GNU Free Documentation License", "1.2 1.3"),
+):
+    for _v in _versions.split():
+        _digit = _v.removesuffix(".0")
+        NAMES[f"{_short}-{_v}"] = [
+            n for v in {_v, _digit} for n in (
+                f"{_long}, version {v}", f"{_long} version {v}", f"{_long} v{v}", f"{_long}, version {v} only", f"{_long}, version {v} or later",
+                f"{_long}, version {v} or any later version", f"{_short} v{v}", f"{_short}v{v}", f"{_short} {v}", f"{_short}-{v}",
+            )
+        ]
+#: How notices begin.
+NOTICES = (
+    "Licensed under", "Released under", "Distributed under", "Available under", "This work is licensed under", "This file is licensed under",
+    "This software is licensed under", "This project is licensed under", "This software is released under", "This project is released under",
+)
 KNOWN = [
-    ("MIT", MIT), ("MIT", "The MIT License (MIT)\n" + MIT), ("MIT", "MIT License\n" + MIT), ("ISC", ISC), ("ISC", "ISC License\n" + ISC),
-    ("BSD-2-Clause", BSD_HEAD + BSD_TAIL), ("BSD-3-Clause", BSD_HEAD + BSD_THIRD + BSD_TAIL), ("Apache-2.0", APACHE_NOTICE),
-    ("Apache-2.0", "Licensed under the Apache License, Version 2.0."), ("Apache-2.0", "SPDX-License-Identifier: Apache-2.0"),
-    ("MIT", "Released under the MIT License."), ("MIT", "Licensed under the MIT License."), ("MIT", "SPDX-License-Identifier: MIT"),
-    ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."), ("GPL-3.0", "SPDX-License-Identifier: GPL-3.0-only"),
-    ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."), ("GPL-2.0", "SPDX-License-Identifier: GPL-2.0-only"),
-    ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."), ("CC-BY-4.0", "Licensed under CC BY 4.0."), ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
-    ("CC0-1.0", "Licensed under CC0 1.0."), ("BSD-3-Clause", "SPDX-License-Identifier: BSD-3-Clause"), ("ISC", "SPDX-License-Identifier: ISC"),
+    ("MIT", MIT), ("ISC", ISC), ("BSD-2-Clause", BSD_HEAD + BSD_TAIL), ("BSD-3-Clause", BSD_HEAD + BSD_THIRD + BSD_TAIL),
+    ("Apache-2.0", APACHE_NOTICE), ("MPL-2.0", MPL_NOTICE),
 ]
 
+
+def with_variants(licence: str, text: str) -> list[tuple[str, str]]:
+    """A whole text with and without title, numbers of its list and what follows its terms."""
+    texts = [text]
+    if licence.startswith("BSD"):
+        # Copies have bullets in place of numbers, or one or two paragraphs for the name.
+        texts += [re.sub(r"(?m)^\s*[123]\. ", "", text)]
+    for title in TITLES.get(licence, ()):
+        texts += [f"{title}\n\n{t}" for t in list(texts) if not t.startswith(tuple(TITLES[licence]))]
+    return [(licence, t) for t in texts]
+
+
+def from_file(licence: str, text: str) -> list[tuple[str, str]]:
+    """A licence's file with and without its title (first line, or first paragraph) and what follows its terms."""
+    whole = text.strip()
+    texts = [whole]
+    if end := AFTER_TERMS.search(whole):
+        texts += [whole[: end.start()], whole[: end.end()]]
+    # Titles take one or two paragraphs.
+    untitled = [t.split("\n", 1)[1] for t in texts] + [re.split(r"\n\s*\n", t, maxsplit=n)[n] for t in texts for n in (1, 2)]
+    return [(licence, t) for t in texts + untitled]
+
+
+def known_texts(folder: Path = TEXTS) -> list[tuple[str, str]]:
+    """All known texts as (licence, text): whole licences of this module and the folder, notices and identifiers."""
+    out = [row for licence, text in KNOWN for row in with_variants(licence, text)]
+    for path in sorted(folder.glob("*.txt")):
+        text, licence = path.read_text("utf-8"), path.stem
+        licence = {"BSD": "BSD-3-Clause", "Artistic": "Artistic-1.0"}.get(licence, re.sub(r"^(L?GPL-\d)$", r"\1.0", licence))
+        if path.stem == "BSD":  # begins with its copyright lines; the University's wording
+            out += with_variants(licence, text)
+        else:
+            out += from_file(licence, text)
+    for licence, names in NAMES.items():
+        out += [(licence, f"{begin} {the}{name}") for begin in NOTICES for the in ("", "the ", "a ") for name in names]
+        ids = [licence] if licence[:2] not in ("GP", "LG", "GF") else [licence, f"{licence}-only", f"{licence}-or-later", f"{licence}+"]
+        out += [(licence, f"SPDX-License-Identifier: {i}") for i in ids if i not in ("BSD", "MPL", "GPL", "LGPL", *(f"{f}{e}" for f in ("GPL", "LGPL") for e in ("-only", "-or-later", "+")))]
+    return out
+
+
 #: Spellings that count as one.
 SPELLINGS = [
     ("licence", "license"), ("licenced", "licensed"), ("sublicence", "sublicense"), ("organisation", "organization"), ("favour", "favor"),
@@ -83,7 +166,7 @@ def digests(text: Column) -> Column:
 
 
 def known_digests(spark: SparkSession, known: list[tuple[str, str]] | None = None) -> DataFrame:
-    texts = spark.createDataFrame(known or KNOWN, "license string, known string")
+    texts = spark.createDataFrame(known_texts() if known is None else known, "license string, known string")
     return texts.select(digests(F.col("known"))[0].alias("digest"), "license").dropDuplicates(["digest"])
 
 

@@ -540,6 +540,32 @@ def test_licenses(spark, nothing):
     assert licenses.scan(nothing).count() == 0
 
 
+def test_whole_licences_and_their_notices(spark):
+    folder = "/usr/share/common-licenses"
+    names = {
+        "Apache-2.0": "Apache-2.0", "GPL-2": "GPL-2.0", "GPL-3": "GPL-3.0", "LGPL-2.1": "LGPL-2.1", "LGPL-3": "LGPL-3.0", "MPL-2.0": "MPL-2.0",
+        "CC0-1.0": "CC0-1.0", "BSD": "BSD-3-Clause",
+    }
+    rows, expected = [], {}
+    for name, licence in names.items():
+        text = open(f"{folder}/{name}").read()
+        texts = [text, "BSD 3-Clause License\n\n" + text] if name == "BSD" else [text, text.strip().split("\n", 1)[1], text.split("END OF TERMS")[0]]
+        rows += [(len(rows) + i, t) for i, t in enumerate(texts)]
+        expected |= {n: licence for n in range(len(expected), len(rows))}
+    bsd = licenses.BSD_HEAD + licenses.BSD_THIRD + licenses.BSD_TAIL
+    for text in ("BSD 3-Clause License\n\nCopyright (c) 2020, Jo\n" + bsd, bsd.replace("1. ", "* ").replace("2. ", "* ").replace("3. ", "* ")):
+        expected[len(rows)] = "BSD-3-Clause"
+        rows.append((len(rows), text))
+    notices = {
+        "Released under the BSD License.": "BSD", "Licensed under the MPL 2.0": "MPL-2.0", "SPDX-License-Identifier: LGPL-2.1-or-later": "LGPL-2.1",
+        licenses.MPL_NOTICE: "MPL-2.0", "Distributed under the GNU General Public License v3.0": "GPL-3.0", "Released under the MPL.": "MPL",
+    }
+    rows += [(1000 + n, f"prose\n{line}") for n, line in enumerate(notices)] + [(2000, rows[0][1] + " more")]
+    found = {r["doc_id"]: r for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert {n: r["license"] for n, r in found.items() if r["license"]} == expected
+    assert [found[1000 + n]["notices"] for n in range(len(notices))] == list(notices.values())
+
+
 # --- pipeline --------------------------------------------------------------------------------------------------
 
 
