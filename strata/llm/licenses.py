@@ -135,31 +135,63 @@ def known_texts(folder: Path = TEXTS) -> list[tuple[str, str]]:
 SPELLINGS = [
     ("licence", "license"), ("licenced", "licensed"), ("sublicence", "sublicense"), ("organisation", "organization"), ("favour", "favor"),
     ("colour", "color"), ("noncommercial", "non commercial"), ("non infringement", "noninfringement"), ("merchantibility", "merchantability"),
-    ("https", "http"), ("v2", "version 2"), ("v3", "version 3"), ("copyright holders", "copyright holder"), ("copyright owner", "copyright holder"),
+    ("https", "http"), ("v2", "version 2"), ("v3", "version 3"), ("copyright holders", "copyright holder"), ("copyright owners", "copyright holder"), ("copyright owner", "copyright holder"),
 ]
 
-#: A line that states who holds the copyright and when.
-COPYRIGHT_LINE = r"(?im)^[^\p{L}\n]*(?:copyright\s*(?:\(c\)|©|\d)|\(c\)\s*\d|©|all rights reserved)[^\n]*$"
+#: Those of several words may stand across a line's end, so they count anew in the whole text.
+LONG_SPELLINGS = [(other, one) for other, one in SPELLINGS if " " in other]
+
+#: What goes on after "copyright" in licences' own sentences, where a line may begin with it, and what
+#: paragraphs numbered (c) begin with.
+PROSE_AFTER = (
+    r"(?:and|or|in|on|to|is|are|as|of|for|if|that|which|with|under|from|has|have|shall|may|can|will|does|notices?|holders?|holder's|owners?|owner's|owned|"
+    r"laws?|licen[cs]es?|licensors?|licensees?|statements?|information|interests?|claims?|permissions?|protections?|treaty|treaties|"
+    r"patents?|trademarks?|disclaimers?|doctrines?|rights?|status|years?|lines?|page|terms|infringement|like|resulting|the\s+software|grants?|date)"
+)
+SENTENCE_STARTS = (
+    r"(?:you|your|the|this|that|these|those|any|all|each|every|if|in|to|an?|such|subject|under|for|accompany|convey|cause|where|when|"
+    r"unless|except|no|not|provide|provided|use|give|make|prohibit|require|requiring|limiting|declining|include|it|which|or|and|by\s+the\s+terms|"
+    r"licensor|licensee|contributors?|initial|modifications?|however|notwithstanding|redistributions?|neither|rename|distribute|place)\b"
+)
+YEARS = r"[\d<\[{(][^\n]*"
+#: A line that begins with copyright, its sign or (c) and names a holder, a year or a place for them.
+COPYRIGHT_LINE = (
+    r"(?m)^[^\p{L}\n©]*(?:"
+    rf"(?i:copyright)\b[ \t:,]*(?i:\(c\)|©|&copy;|{YEARS})[^\n]*"
+    rf"|(?i:copyright)\b[ \t:,]+(?!(?i:{PROSE_AFTER})\b)[\p{{L}}\p{{N}}\"'“][^\n]*"
+    rf"|(?i:\(c\))[ \t]*(?:{YEARS}|(?i:copyright)\b[^\n]*"
+    rf"|(?!(?i:{SENTENCE_STARTS}))(?:(?i:by)\s+)?\p{{Lu}}[^\s,]*(?:[ \t,&]+(?:\p{{Lu}}[^\s,]*|[\d\-–]+|and|of|the|et|al\.?|for|contributors|others|de|van|von|<[^>\n]*>)){{0,40}}"
+    r"(?i:[ \t,.]*all rights reserved)?[ \t.,;*/#]*)"
+    r"|©[^\n]*|(?i:all rights reserved)[^\n]*)$"
+)
+
+
+def spelled(words: Column, spellings: list[tuple[str, str]]) -> Column:
+    """Words, each with a space of its own on both sides, with every spelling replaced, also next to another one."""
+    for other, one in spellings:
+        words = F.replace(words, F.lit(f" {other.replace(' ', '  ')} "), F.lit(f" {one.replace(' ', '  ')} "))
+    return words
 
 
 def canonical_lines(text: Column) -> Column:
-    """The lines of a text as lower-case words of letters and digits with one space between, in one spelling, without
+    """The lines of a text as lower-case words of letters and digits with two spaces between, in one spelling, without
     copyright lines."""
     kept = F.when(text.rlike(r"(?i)copyright|©|\(c\)|all rights"), F.regexp_replace(text, COPYRIGHT_LINE, "")).otherwise(text)
-    words = F.regexp_replace(F.lower(kept), r"[^\p{L}\p{N}\n]+", " ")
-    out = F.concat(F.lit(" "), F.replace(words, F.lit("\n"), F.lit(" \n ")), F.lit(" "))
-    for other, one in SPELLINGS:
-        out = F.replace(out, F.lit(f" {other} "), F.lit(f" {one} "))
-    return F.split(out, "\n")
+    words = F.regexp_replace(F.lower(kept), r"[^\p{L}\p{N}\n]+", "  ")
+    return F.split(spelled(F.concat(F.lit(" "), F.replace(words, F.lit("\n"), F.lit(" \n ")), F.lit(" ")), SPELLINGS), "\n")
 
 
 def digests(text: Column) -> Column:
-    """Digests of the whole text, first, and of its different lines; lines without words are left out."""
+    """Digests of the whole text, first, and of its different lines; lines without words are left out.
+
+    Line ends do not count in the whole text: spellings of several words are replaced across them.
+    """
     squeezed = lambda words: F.trim(F.regexp_replace(words, " +", " "))
+    joined = lambda lines: F.concat(F.lit(" "), F.replace(F.array_join(lines, " "), F.lit(" "), F.lit("  ")), F.lit(" "))
     return common.let(
         F.filter(F.transform(canonical_lines(text), squeezed), lambda line: line != ""),
         lambda lines: F.concat(
-            F.array(F.sha2(F.array_join(lines, " "), 256)),
+            F.array(F.sha2(squeezed(spelled(joined(lines), LONG_SPELLINGS)), 256)),
             F.transform(F.array_distinct(lines), lambda line: F.sha2(line, 256)),
         ),
     )

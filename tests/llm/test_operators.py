@@ -566,6 +566,31 @@ def test_whole_licences_and_their_notices(spark):
     assert [found[1000 + n]["notices"] for n in range(len(notices))] == list(notices.values())
 
 
+def test_normal_form_of_licences(spark):
+    apache, gpl = (open(f"/usr/share/common-licenses/{n}").read() for n in ("Apache-2.0", "GPL-3"))
+    bsd = licenses.BSD_HEAD + licenses.BSD_THIRD + licenses.BSD_TAIL
+    owner = bsd.replace("copyright holder", "copyright owner").replace("COPYRIGHT HOLDERS", "COPYRIGHT OWNERS")
+    heads = [
+        "Copyright Joyent, Inc. and other Node contributors.", "Copyright <YEAR> <HOLDER>", "Copyright [yyyy] [name of copyright owner]", "(c) Jane Doe", "Copyright: Jo Doe",
+        "// Copyright The Authors", "(C) 2020-2024 Jo, Doe", "© Jo", "Copyright by Jane Doe. All rights reserved.", "(c) Jane Doe, Jo Roe and contributors. All rights reserved.",
+    ]
+    rows = [(head + "\n\n" + licenses.MIT, "MIT") for head in heads]
+    rows += [("\n".join(licenses.MIT.replace("NONINFRINGEMENT", "NON INFRINGEMENT").split()), "MIT"), ("\n".join(bsd.split()), "BSD-3-Clause")]
+    for width in (30, 47, 63, 90):
+        wrapped = lambda text: re.sub(rf"(.{{{width}}}\S*) ", r"\1\n", " ".join(text.split()))  # noqa: E731, B023
+        rows += [(wrapped(licenses.MIT), "MIT"), (wrapped(bsd), "BSD-3-Clause"), (wrapped(bsd).upper(), "BSD-3-Clause")]
+    # Lines that begin with (c) or copyright but name nobody are text of the licence.
+    rows += [(apache.replace("You must retain, in the Source form", "You must never retain"), None), ("(c) Jane Doe\nMIT License\n\n" + licenses.MIT, "MIT")]
+    rows += [(apache.replace("Copyright [yyyy]", "Copyright 2020"), "Apache-2.0"), (re.sub("(?<=copyright) ", "\n", licenses.MIT), "MIT")]
+    rows += [(re.sub("(?<= )copyright ", "\ncopyright ", gpl), "GPL-3.0"), (re.sub("(?i) (copyright )", r"\n\1", owner), "BSD-3-Clause")]
+    table = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(rows)], "doc_id long, text string")
+    found = {r["doc_id"]: r["license"] for r in licenses.scan(table).collect()}
+    wrong = [(t[:80], licence, found[i]) for i, (t, licence) in enumerate(rows) if found[i] != licence]
+    assert not wrong, wrong
+    twice = [licenses.scan(spark.createDataFrame([(1, t)], "doc_id long, text string")).first()["digest"] for t in ("licence licence x", "license license x")]
+    assert twice[0] == twice[1]
+
+
 # --- pipeline --------------------------------------------------------------------------------------------------
 
 
