@@ -6,7 +6,8 @@ give each node its exact marginal, and the blocks of nodes that are likely conte
 the exact likelihood of labelled pages: composed ones, whose parts are known, and a bounded sample of the table's own pages
 that mark their article.
 
-Scripts, styles, form controls, comments in the markup and the page's head are never text.  Character references are
+Scripts, styles, form controls, embedded media, comments in the markup and the page's head are never text; formulas are.
+A control or media element without its closing tag takes nothing with it beyond the next block or its parent's end.  Character references are
 decoded, white space inside a block becomes one space, and blocks are joined by a newline in page order.  Null and empty
 pages have the empty text.  Unclosed and stray tags are taken as browsers mostly do: a new block ends an open paragraph.
 """
@@ -29,10 +30,24 @@ COMPOSED, SAMPLED, ROUNDS, RATE, PENALTY = 300, 100, 10, 0.1, 1e-3
 #: Elements by how they take part in the text.
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike "
-    "strong sub sup time tt u var wbr".split()
+    "strong sub sup time tt u var wbr "
+    "math mi mo mn ms mtext mrow msup msub msubsup mfrac msqrt mroot mover munder munderover mmultiscripts mprescripts mpadded mphantom "
+    "mspace mstyle mtable mtr mlabeledtr mtd menclose merror maction semantics".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style title textarea noscript template iframe object svg math select button canvas audio video".split())
+#: Their text has no markup and ends at their closing tag only, or with the page.
+RAW = frozenset("script style title textarea".split())
+#: Dropped with all they hold: see hidden_end for those without a closing tag.  An annotation is a formula's source, not shown.
+HIDDEN = frozenset("noscript template iframe object svg select button canvas audio video annotation annotation-xml".split())
+#: Of these one cannot hold another: the second ends the first.
+NOT_NESTED = frozenset("button select".split())
+#: What ends an element of HIDDEN that has no closing tag.
+BLOCKS = frozenset(
+    "p div h1 h2 h3 h4 h5 h6 article section main aside nav header footer form ul ol dl li dt dd table blockquote pre figure figcaption "
+    "address details summary fieldset center body".split()
+)
+#: Parts of a formula that stand apart.
+APART = frozenset("br mtr mtd mspace".split())
 #: Elements that a start tag ends when they are open: by the starting element.
 ENDED_BY = {
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
@@ -74,12 +89,70 @@ class Node:
         self.blocks, self.size, self.linked, self.marks = 0, 0, 0, 0
 
 
+class Closings:
+    """Where closing tags are, found as they are asked for: positions asked for do not go down."""
+
+    def __init__(self, page: str) -> None:
+        self.page, self.nexts, self.ends = page, {}, {}
+
+    def after(self, tag: str, at: int) -> int:
+        """The next closing tag, or the page's length."""
+        known = self.nexts.get(tag, -1)
+        if known < at:
+            found = re.compile(rf"</{re.escape(tag)}(?![^\s/>])", re.IGNORECASE).search(self.page, at)
+            known = self.nexts[tag] = found.start() if found else len(self.page)
+        return known
+
+
+def raw_end(page: str, at: int, tag: str) -> int:
+    found = re.compile(rf"</{re.escape(tag)}\s*>", re.IGNORECASE).search(page, at)
+    return found.end() if found else len(page)
+
+
+def hidden_end(page: str, at: int, tag: str, parents: set[str], closings: Closings) -> int:
+    """Where an element of HIDDEN ends whose start tag ends at ``at``: behind its closing tag; without one in its parent
+    before the first block in it, or where its parent ends."""
+    close = closings.after(tag, at)
+    # Known from an earlier one of its kind: no closing tag before the end of the parent.
+    closable = close < len(page) and not at < closings.ends.get(tag, 0) <= close
+    opened, first = [tag], None
+    while found := MARKUP.search(page, at):
+        at = found.end()
+        name = (found[2] or found[5] or "").lower()
+        if not name:
+            continue
+        if found[1] or found[4]:
+            if name in opened:
+                while opened.pop() != name:
+                    pass
+                if not opened:
+                    return at
+            elif name in parents:
+                closings.ends[tag] = found.start()
+                return found.start() if first is None else first
+        elif name == tag and tag in NOT_NESTED:
+            return found.start() if first is None else first
+        elif name in BLOCKS and first is None and not closable:
+            return found.start()
+        elif not (found[3] or found[6] or "").rstrip().endswith("/") and name not in VOID:
+            if name in RAW and tag != "svg":
+                at = raw_end(page, at, name)
+                continue
+            if name in BLOCKS and first is None:
+                first = found.start()
+            opened.append(name)
+    closings.ends[tag] = len(page)
+    return len(page) if first is None else first
+
+
 def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
     """The block elements of a page in document order, and its text blocks as (node, text)."""
     nodes, blocks = [Node("", -1, "")], []
     stack = [0]
     buffer: list[str] = []
     in_link, linked, at = 0, 0, 0
+    inline: list[str] = []
+    closings = Closings(page)
 
     def flush() -> None:
         nonlocal linked
@@ -115,16 +188,25 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
         if tag in INLINE:
             if tag == "a":
                 in_link = 0 if closing else 1
-            elif tag == "br":
+            elif tag in APART:
                 buffer.append(" ")
+            if closing:
+                if tag in inline:
+                    while inline.pop() != tag:
+                        pass
+            elif tag not in VOID and len(inline) < 64:
+                inline.append(tag)
             continue
-        if tag in RAW:
+        if tag in RAW or tag in HIDDEN:
             if not closing and not rest.rstrip().endswith("/"):
-                end = re.compile(rf"</{re.escape(tag)}\s*>", re.IGNORECASE).search(page, at)
-                at = end.end() if end else len(page)
+                if tag in RAW:
+                    at = raw_end(page, at, tag)
+                else:
+                    at = hidden_end(page, at, tag, {nodes[n].tag for n in stack[1:]}.union(inline), closings)
             buffer.append(" ")
             continue
         flush()
+        inline.clear()
         in_link = 0
         if closing:
             for depth in range(len(stack) - 1, 0, -1):

@@ -435,6 +435,18 @@ def test_main_text(page_model):
     assert main_text.extract(None, page_model) == main_text.extract("", page_model) == main_text.extract("<p", page_model).strip("<p") == ""
 
 
+def test_unclosed_elements_take_no_later_text(page_model):
+    body = lambda inside: f"<html><body><article><h1>Of it</h1><p>First of it, and more.</p>{inside}<p>Later text of it, and more of it, is here.</p></article></body></html>"
+    plain = "Of it\nFirst of it, and more.\nLater text of it, and more of it, is here."
+    for tag in "button select svg canvas audio video object iframe template noscript".split():
+        for inside in (f"<{tag}>", f"<div><{tag}>hidden words</div>", f"<{tag}>hidden<p>words</p></{tag}>", f"<{tag}>a</{tag}><{tag}>hidden", f"<{tag}>" * 50):
+            assert main_text.extract(body(inside), page_model) == plain, (tag, inside)
+    assert main_text.extract(body("").replace("First of it", "First <a href=/x><svg><path d=x></a> of it"), page_model) == plain
+    formula = main_text.extract(body("").replace("First of it", "If <math><mi>x</mi><mo>=</mo><mn>2</mn></math>"), page_model)
+    assert formula == plain.replace("First of it", "If x=2")
+    assert main_text.extract(body("<script>var x"), page_model) == "Of it\nFirst of it, and more."
+
+
 def test_marginals_are_exact():
     draw = random.Random(12)
     model = main_text.Model()
