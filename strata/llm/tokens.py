@@ -3,6 +3,10 @@
 Byte-level BPE first cuts a text where a space is followed by something else than white space, and merges never cross a
 cut.  So the ids of a text are the ids of its chunks in order, and a chunk that was met before need not be merged again.
 The memory is a cache of bounded size: it changes the time, never the ids.
+
+The tokenizer stays as loaded: strings of its added tokens become the ids of these, as ``encode(text,
+add_special_tokens=False)`` has it.  A text is split at them first, so no chunk holds one; what stands between two is a
+text of its own.
 """
 
 from __future__ import annotations
@@ -87,14 +91,19 @@ class _Chunks(dict):
 
 
 class Encoder:
-    """Encodes texts with a tokenizer file; special strings in a text are ordinary text."""
+    """Encodes texts with a tokenizer file as it is; strings of added tokens in a text are those tokens."""
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        added = {token.content: (number, token) for number, token in self.tokenizer.get_added_tokens_decoder().items() if token.content}
+        # Tokens that take in white space or ask for word ends or a normal form are left to the library, text by text.
+        self.plain_added = not any(t.lstrip or t.rstrip or t.single_word for _, t in added.values()) and self.tokenizer.normalizer is None
+        self.added = {content: np.array([number], dtype="<u4").tobytes() for content, (number, _) in added.items()}
+        longest_first = sorted(self.added, key=len, reverse=True)
+        self.added_strings = re.compile("(" + "|".join(map(re.escape, longest_first)) + ")") if longest_first else None
         self.heads = _Chunks(self.tokenizer, "")
         self.heads.newline = self.heads.ids("\n")
         self.chunks = _Chunks(self.tokenizer, " ", self.heads)
@@ -103,6 +112,17 @@ class Encoder:
         """Ids of the whole text, without an end id."""
         if not text:
             return b""
+        if self.added_strings is None or not self.added_strings.search(text):
+            return self.encode_between(text)
+        if not self.plain_added:
+            return self.heads.ids(text)
+        parts = self.added_strings.split(text)
+        parts[0::2] = [self.encode_between(part) if part else b"" for part in parts[0::2]]
+        parts[1::2] = [self.added[content] for content in parts[1::2]]
+        return b"".join(parts)
+
+    def encode_between(self, text: str) -> bytes:
+        """Ids of a text without strings of added tokens."""
         parts = CUT.split(text) if UNSAFE_SPACE.search(text) else text.split(" ")
         first = self.heads[parts[0]] if parts[0] else b""
         del parts[0]

@@ -75,6 +75,18 @@ def test_ids_are_those_of_the_whole_text(texts):
         assert list(np.frombuffer(encoder.encode(text), dtype="<u4")) == whole_ids(text)[:-1]
 
 
+def test_added_tokens_are_those_of_the_file_as_loaded(texts):
+    from tokenizers import Tokenizer
+
+    loaded = Tokenizer.from_file(tokens.default_tokenizer())
+    encoder = tokens.Encoder(tokens.default_tokenizer())
+    end, draw = "<|endoftext|>", random.Random(2)
+    odd = ["".join(draw.choices([end, " ", "\n", "ab", ".", "é", "<|", "|>", "endoftext"], k=draw.randint(0, 12))) for _ in range(2000)]
+    assert list(np.frombuffer(encoder.encode(f"x {end} y"), dtype="<u4")) == [87, 220, 50256, 331]
+    for text in [*texts, *odd, end, end * 3, f" {end} \n{end}", f"a{end} b {end}"]:
+        assert list(np.frombuffer(encoder.encode(text), dtype="<u4")) == loaded.encode(text or "", add_special_tokens=False).ids, text
+
+
 def test_cuts():
     for n in (1, 2, 9, 10, 11, 20, 25):
         parts = list(packing.cut(n, 10))
