@@ -245,9 +245,14 @@ def compare(rows: list[tuple[str, str, np.ndarray]], similarity: float) -> list[
     return [(nodes[i], int(degrees[i]), nodes[first[i]]) for i in np.flatnonzero(degrees)]
 
 
-def work(classes: DataFrame) -> DataFrame:
-    """Per class of a candidate component: the pieces of work it belongs to, as (work, side)."""
-    size_class = F.floor(F.log("n_grams") / math.log(1 / common.SIMILARITY)).cast("int")
+def work(classes: DataFrame, similarity: float) -> DataFrame:
+    """Per class of a candidate component: the pieces of work it belongs to, as (work, side).
+
+    Sizes of sets so similar are a factor of 1 / similarity apart at most, which is the width of a cell.
+    """
+    # A hair more keeps rounding from parting a pair at the very limit.
+    width = math.log(1 / similarity) * (1 + 1e-9)
+    size_class = F.floor(F.log("n_grams") / width).cast("int")
     blocks = lambda n, grams: F.greatest(F.ceil(n / BLOCK_CLASSES), F.ceil(grams / BLOCK_GRAMS)).cast("int")
     cells = classes.groupBy("component", size_class.alias("cell")).agg(
         F.count("*").alias("n"), F.sum("n_grams").alias("grams")
@@ -309,7 +314,7 @@ def verified(docs: DataFrame, classes: DataFrame, words: int, similarity: float)
     # Keys of plain equality; what a missing doc_id stands for does not matter beside the hash of the text.
     known = lambda df: df.withColumn("doc_id", F.coalesce("doc_id", F.lit(-(1 << 63))))
     sets = (
-        known(work(classes)).join(known(keyed(docs)), ["doc_id", "text_hash"]).select("class_key", "works", "text")
+        known(work(classes, similarity)).join(known(keyed(docs)), ["doc_id", "text_hash"]).select("class_key", "works", "text")
         .mapInArrow(grams, "class_key string, works array<struct<work:string,side:string>>, grams binary")
     )
     return (

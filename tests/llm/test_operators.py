@@ -314,6 +314,15 @@ def test_near_duplicates(spark, docs, nothing, blocks, monkeypatch):
     assert near_duplicates.groups(nothing).count() == 0 == near_duplicates.keep_one(nothing).count()
 
 
+def test_cells_follow_the_similarity_asked_for(spark, monkeypatch):
+    monkeypatch.setattr(near_duplicates, "BLOCK_CLASSES", 4)
+    words = prose(random.Random(16), 4000).split()
+    sizes = [204 + 8 * i for i in range(26)]  # prefixes of one text: similarity is the ratio of their numbers of n-grams
+    table = spark.createDataFrame([(n, " ".join(words[:n])) for n in sizes], "doc_id long, text string")
+    found = {r["doc_id"]: r["n_links"] for r in near_duplicates.groups(table, similarity=0.5).collect()}
+    assert found == {a: sum(min(a, b) - 4 >= 0.5 * (max(a, b) - 4) for b in sizes if b != a) for a in sizes}
+
+
 def test_bands_reach_the_recall():
     for similarity in (0.5, 0.8, 0.9):
         bands, rows = near_duplicates.band_shape(similarity, recall=0.99, most=256)
