@@ -259,6 +259,14 @@ def test_contamination(spark, options):
     assert not any(r["contaminated"] for r in contamination.verdicts(table, bench.limit(0)).collect())
 
 
+def test_copies_of_a_benchmark_row_do_not_fill_a_block(spark):
+    items = [(0, "one item that is repeated " * 4)] * 200 + [(i, f"item {i} " * 10) for i in range(1, 20)]
+    table = spark.createDataFrame(items, "item_id long, text string")
+    blocks = list(contamination.test_blocks(table, 500))
+    assert sorted(row for block in blocks for row in block) == sorted({(str(i), t) for i, t in items})
+    assert len(blocks) <= 10
+
+
 # --- near duplicates -------------------------------------------------------------------------------------------
 
 
