@@ -18,6 +18,7 @@ from strata.llm import (
     quality,
     toxicity,
     url_filter,
+    whitening,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -89,3 +90,8 @@ def url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_license_scans")
 def license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(common.read_table(spark, sf_dir, "documents"))
+
+
+@query("op11_embedding_whitening")
+def embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(common.read_table(spark, sf_dir, "embeddings"))
