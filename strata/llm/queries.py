@@ -16,6 +16,7 @@ from strata.llm import (
     packing,
     personal_data,
     quality,
+    repeated_passages,
     toxicity,
     url_filter,
     whitening,
@@ -95,3 +96,8 @@ def license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op11_embedding_whitening")
 def embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whitened(common.read_table(spark, sf_dir, "embeddings"))
+
+
+@query("op13_substring_dedup", repeated_passages.oracle_sql())
+def substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages.verdicts(common.read_table(spark, sf_dir, "documents"))
