@@ -17,6 +17,7 @@ from strata.llm import (
     personal_data,
     quality,
     repeated_passages,
+    spelling,
     toxicity,
     url_filter,
     whitening,
@@ -101,3 +102,8 @@ def embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op13_substring_dedup", repeated_passages.oracle_sql())
 def substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_passages.verdicts(common.read_table(spark, sf_dir, "documents"))
+
+
+@query("op12_spelling_variants", spelling.oracle_sql())
+def spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(common.read_table(spark, sf_dir, "documents"))
