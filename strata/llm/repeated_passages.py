@@ -15,7 +15,7 @@ task, however many documents have it; what is settled inside a task goes back to
 Words are maximal runs of other characters than blanks, tabs and line ends, unchanged.  A text without words, null or
 empty, has none to remove.  Null doc_ids come after all others, in the order of a hash of their texts.  Rows of one doc_id
 take no words from each other, nor do equal texts without doc_id, so repeated rows are all judged alike.  At the last level
-windows are told apart by 128 bits.
+windows are told apart by 96 bits.
 """
 
 from __future__ import annotations
@@ -48,7 +48,7 @@ IS_WORD[list(SPACES)] = False
 
 DRAW = np.random.Generator(np.random.PCG64(5))
 BYTE_VALUES = DRAW.integers(0, 2**64, 256, dtype=np.uint64)
-#: Odd bases of the rolling hashes of bytes in a word, and of words in a window (two for 128 bits), with their inverses.
+#: Odd bases of the rolling hashes of bytes in a word, and of words in a window (two for the last level), with their inverses.
 BASES = [int(b) | 1 for b in DRAW.integers(2**60, 2**63, 3)]
 INVERSES = [pow(b, -1, 2**64) for b in BASES]
 MIX_A, MIX_B = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -134,12 +134,15 @@ class Windows:
         self.first = np.concatenate([[0], np.cumsum(counts)])
 
     def keys(self, length: int, which: int = 1) -> np.ndarray:
-        """For each window the hash that stands for it at a level: the smallest of its windows of ``length`` words."""
+        """For each window the hash that stands for it at a level: the smallest of its windows of ``length`` words.
+
+        Shorter lengths only rule windows out, for which 48 bits do; so do another 32 behind the first 64 of the last.
+        """
         last = len(self.hashes) - length + 1
         if not len(self.at):
             return np.zeros(0, dtype=np.uint64)
         starts = np.arange(last)
-        short = mix(rolling(self.hashes, starts, starts + length, which))
+        short = mix(rolling(self.hashes, starts, starts + length, which)) >> np.uint64(16 if length < self.words else 32 * (which - 1))
         smallest = short[self.at]
         for step in range(1, self.words - length + 1):
             np.minimum(smallest, short[self.at + step], out=smallest)
@@ -237,7 +240,8 @@ def compared(documents: DataFrame, words: int, length: int, before: int | None)
             owners = np.column_stack([table.column(n).to_numpy() for n in OWNER])
             yield rows_of(owners, keys, keys2, text, final)
 
-    sent = documents.mapInArrow(run, KEYS)
+    # Shuffled before the window adds columns of its own to the rows.
+    sent = documents.mapInArrow(run, KEYS).repartition("hash", "hash2")
     key = Window.partitionBy("hash", "hash2", F.col("settled").isNull())
     owner = F.struct(*OWNER)
     told = F.min(owner).over(key) < owner if final else F.count(F.lit(1)).over(key) > 1
@@ -262,22 +266,22 @@ def kept_text(texts: Texts, k: int, removed: np.ndarray) -> bytes:
     return np.where(IS_WORD[chosen], chosen, np.uint8(0x20)).tobytes()[:-1]
 
 
-def owned(docs: DataFrame, doc: str, mark: str) -> DataFrame:
+def owned(docs: DataFrame, doc: str = "doc", mark: str = "mark", doc_id: str = "doc_id") -> DataFrame:
     """``docs`` with the columns by which a document is known and ordered."""
-    known = F.col("doc_id").isNotNull()
-    return docs.withColumn(doc, F.coalesce(F.col("doc_id").cast("long"), F.lit(2**63 - 1))).withColumn(
+    known = F.col(doc_id).isNotNull()
+    return docs.withColumn(doc, F.coalesce(F.col(doc_id).cast("long"), F.lit(2**63 - 1))).withColumn(
         mark, F.when(known, F.lit(0).cast("long")).otherwise(F.xxhash64(F.lit(1), F.col("text")))
     )
 
 
 def passages(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """(doc, mark, answers, packs) per document that loses words: the keys of its windows that an earlier one has."""
+    """(doc, mark, answers, packs) per document of ``docs`` (doc, mark, text and what else is to be shuffled with them) that
+    loses words: the keys of its windows that an earlier one has."""
     lengths = levels(words)
-    documents = owned(docs.select("doc_id", F.col("text").cast("string").alias("text")), *OWNER).select(*OWNER, "text")
-    found = compared(documents, words, lengths[0], None)
+    found = compared(docs.select(*OWNER, "text"), words, lengths[0], None)
     for before, length in zip(lengths, lengths[1:], strict=False):
         # In one order whatever the shuffle does, so that a task that is run again says the same.
-        told = documents.join(found, OWNER).sortWithinPartitions(*OWNER, F.xxhash64("text"))
+        told = docs.join(found, OWNER).sortWithinPartitions(*OWNER, F.xxhash64("text"))
         found = compared(told, words, length, before)
     return found
 
@@ -285,12 +289,11 @@ def passages(docs: DataFrame, words: int = WORDS) -> DataFrame:
 def dedup(docs: DataFrame, words: int = WORDS, out: str = "passages") -> DataFrame:
     """``docs`` (doc_id, text and whatever else) with a struct column ``out``: n_words, n_removed, the kept words as a
     text, its digest, and the removed spans of words (starts and ends)."""
-    taken = [*docs.columns, out]
-    doc, mark, lost = (common.fresh(name, taken) for name in ("doc", "mark", "lost"))
-    found = passages(docs, words).select(
-        F.col("doc").alias(doc), F.col("mark").alias(mark), F.struct("answers", "packs").alias(lost)
-    )
-    rows = owned(docs, doc, mark).join(found, [doc, mark], "left").select(*[F.col(f"`{c}`") for c in docs.columns], lost)
+    # By place and not by name, as the table may have any; one frame for all joins, so that its rows are shuffled once.
+    places = ["text" if c == "text" else f"c{k}" for k, c in enumerate(docs.columns)]
+    owners = owned(docs.withColumn("text", F.col("text").cast("string")).toDF(*places), doc_id=places[docs.columns.index("doc_id")])
+    found = passages(owners, words).select(*OWNER, F.struct("answers", "packs").alias("lost"))
+    rows = owners.join(found, OWNER, "left").select(*places, "lost")
     kind = "struct<n_words:bigint,n_removed:bigint,kept:string,kept_sha256:string,removed:array<bigint>>"
     schema = docs.withColumn(out, F.lit(None).cast(kind)).schema
     arrow = pa.struct([
@@ -299,11 +302,11 @@ def dedup(docs: DataFrame, words: int = WORDS, out: str = "passages") -> DataFra
     text_at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in chunks(batches, schema.names[text_at]):
+        for table in chunks(batches, "text"):
             column = whole(table.column(text_at)).cast(pa.string())
             texts = Texts(column)
             windows = Windows(texts, words)
-            told = survivors_of(*whole(table.column(lost)).flatten(), windows, words)
+            told = survivors_of(*whole(table.column("lost")).flatten(), windows, words)
             change = np.zeros(len(texts.starts) + 1, dtype=np.int32)
             np.add.at(change, windows.at[told], 1)
             np.add.at(change, windows.at[told] + words, -1)
