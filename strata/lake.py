@@ -28,6 +28,9 @@ class Lake:
     def rejects(self, table: str) -> str:
         return self._join("bronze", f"{table}_rejects")
 
+    def malformed(self, table: str) -> str:
+        return self._join("bronze", f"{table}_malformed")
+
     def silver(self, table: str) -> str:
         return self._join("silver", table)
 
@@ -51,5 +54,9 @@ class Lake:
     def ingested_files(self) -> str:
         return self._join("ops", "ingested_files")
 
+    @property
+    def load_intents(self) -> str:
+        return self._join("ops", "load_intents")
+
     def layer_root(self, layer: str) -> str:
         return self._join(layer)

@@ -25,7 +25,7 @@ from strata.plans.runs import Run, append_run
 from strata.plans.silver import promote_all
 from strata.plans.updates import run_all_generators
 from strata.sources.files import list_files, path_exists
-from strata.sources.tables import read_table
+from strata.sources.tables import current_path, read_table
 
 INCREMENTAL_DATASETS = ("taxi_trips", "weather", "air_quality")
 
@@ -145,7 +145,7 @@ def on_day(trips: DataFrame, day: str, *, partition_column: str | None = "pickup
 def storage_report(spark: SparkSession, tables: Mapping[str, str]) -> DataFrame:
     """Files, directories and bytes per table, from a distributed listing."""
     frames = [
-        list_files(spark, path)
+        list_files(spark, current_path(spark, path))
         .filter(F.col("path").endswith(".parquet") | F.col("path").endswith(".csv"))
         .agg(
             F.lit(name).alias("table"),

@@ -14,9 +14,9 @@ from pyspark.sql import functions as F
 
 from strata.config import DEFAULT_DIRECTORY, load_dataset
 from strata.lake import Lake
-from strata.plans.bronze import load_frame, read_raw_files, register_files, registered_files
+from strata.plans.bronze import load_update_files, registered_files, settle_loads
 from strata.plans.runs import record_run
-from strata.sources.files import not_yet_ingested
+from strata.sources.files import literal, not_yet_ingested
 
 # The binary-file source lists files; its content column is never selected, so no file is opened by the stream.
 LISTING_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
@@ -29,7 +29,7 @@ def arriving_files(spark: SparkSession, source: str, files_per_batch: int) -> Da
         .schema(LISTING_SCHEMA)
         .option("recursiveFileLookup", True)
         .option("maxFilesPerTrigger", files_per_batch)
-        .load(source)
+        .load(literal(source))
         .select("path", F.col("length").alias("size"), F.col("modificationTime").alias("modified_at"))
     )
 
@@ -49,15 +49,12 @@ def ingest_stream(
 
     def load_batch(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
+        settle_loads(session, lake, cfg)
         fresh = not_yet_ingested(batch, registered_files(session, lake, cfg)).collect()
         if not fresh:
             return
         with record_run(session, lake, "bronze", name, cfg.schema_version) as run:
-            raw = read_raw_files(session, cfg, [f["path"] for f in fresh])
-            count = load_frame(session, lake, cfg, raw, run, append=True)
-            register_files(session, lake, cfg, fresh)
-            run.loaded(count)
-            appended.append(count)
+            appended.append(load_update_files(session, lake, cfg, fresh, run))
 
     query = (
         arriving_files(spark, source, files_per_batch)

@@ -118,7 +118,7 @@ def test_dynamic_partition_overwrite(spark, tmp_path):
     df = spark.range(6).select("id", (F.col("id") % 3).alias("p"))
     tables.write_table(df, path, ["p", "absent"])
     tables.write_table(df.filter("p = 1").withColumn("id", F.lit(100)), path, ["p"], dynamic=True)
-    assert sorted(r["id"] for r in spark.read.parquet(path).collect()) == [0, 2, 3, 5, 100, 100]
+    assert sorted(r["id"] for r in read(spark, path).collect()) == [0, 2, 3, 5, 100, 100]
 
 
 def test_noted_schema_follows_the_table(spark, tmp_path):
