@@ -420,10 +420,12 @@ def extract(page: str | None, model: Model) -> str:
 
 
 def fitted(pages: DataFrame) -> Model:
-    """A model from composed pages and at most ``SAMPLED`` pages, drawn by hash of their html."""
+    """A model from composed pages and at most ``SAMPLED`` pages of up to 200,000 characters, drawn and ordered by a hash of
+    their html, so that the same pages in another layout give the same model."""
     some = pages.select(F.col("html").cast("string").alias("html")).filter(F.length("html").between(1, 200_000))
     share = SAMPLED / max(SAMPLED, some.count())
-    drawn = some.filter(F.pmod(F.xxhash64("html"), F.lit(1 << 30)) < int(2 * share * (1 << 30))).limit(SAMPLED)
+    drawn = some.filter(F.pmod(F.xxhash64("html"), F.lit(1 << 30)) < int(2 * share * (1 << 30)))
+    drawn = drawn.orderBy(F.xxhash64("html"), "html").limit(SAMPLED)
     return train([r["html"] for r in drawn.collect()])
 
 

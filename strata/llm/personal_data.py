@@ -36,6 +36,8 @@ KINDS = ("email", "ip", "card", "phone")
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 EMAIL_LOCAL = re.compile(r"[A-Za-z0-9._%+-]*\Z")
 IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+#: The same for searching: no match of it begins inside a run of digits, as each ends with one.
+IP_FROM_RUN = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
@@ -45,7 +47,7 @@ LEAST_DIGITS = 7
 AT, DOT = r"(?:@|\s?[\[({<]\s?at\s?[\])}>]\s?|\sat\s)", r"(?:\.|\s?[\[({<]\s?dot\s?[\])}>]\s?|\sdot\s)"
 AT_MARK = re.compile(AT, re.IGNORECASE)
 DOT_MARK = re.compile(DOT, re.IGNORECASE)
-NAME_BEFORE = re.compile(r"[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}\Z")
+NAME_BEFORE = re.compile(r"[A-Za-z0-9][A-Za-z0-9._%+-]*\Z")
 #: A host's last part may be any letters, two at least, or an encoded international one.
 HOST_AFTER = re.compile(
     rf"[A-Za-z0-9-]{{1,63}}(?:{DOT}[A-Za-z0-9-]{{1,63}})*{DOT}(?:xn--[A-Za-z0-9-]{{1,59}}|[A-Za-z]{{2,63}})(?![A-Za-z0-9-])",
@@ -65,8 +67,9 @@ CUE = re.compile(r"(tel|phone|call|fax|mobile|card|visa|credit|ip|host|address|s
 
 MAIL_CUE = re.compile(r"(?:mail|contact|reach|write|ask|address|send)(?:\s+(?:me|us|him|her|them|to|is))*\W*\Z", re.IGNORECASE)
 
-#: Tokens of a candidate span at most; of one with an at, whose spelled marks take five tokens each.
-MOST_TOKENS, MOST_MAIL_TOKENS = 24, 64
+#: Digits of a candidate span without an at: no kind has more.  Parts of an address are candidates up to so many tokens
+#: (spelled marks take five each), a whole one whatever its length.
+MOST_DIGITS, MOST_PART_TOKENS = 19, 64
 #: Documents and regions to learn from, rounds, rate, penalty; score by which a span must beat leaving it out.
 SAMPLE, REGIONS, ROUNDS, LEARNING_RATE, PENALTY, MARGIN = 4000, 600, 15, 0.3, 1e-3, 1.0
 
@@ -96,7 +99,7 @@ def base_spans(text: str) -> list[Span]:
             out.append((found.start(), found.end(), "email"))
             done = found.end()
         at = text.find("@", max(at + 1, done))
-    for m in IP.finditer(text):
+    for m in IP_FROM_RUN.finditer(text):
         if all(len(part.lstrip("0")) <= 3 and int(part.lstrip("0") or 0) <= 255 for part in m[0].split(".")):
             out.append((m.start(), m.end(), "ip"))
     for m in CARD.finditer(text):
@@ -126,7 +129,10 @@ def email_regions(text: str) -> list[tuple[int, int]]:
     while mark := AT_MARK.search(text, at):
         at = mark.start() + 1
         if host := HOST_AFTER.match(text, mark.end()):
-            if name := NAME_BEFORE.search(text, max(done, mark.start() - 64), mark.start()):
+            low = mark.start()
+            while low > done and EMAIL_LOCAL.match(text[low - 1]):
+                low -= 1
+            if name := NAME_BEFORE.search(text, low, mark.start()):
                 out.append((name.start(), host.end()))
                 at = done = host.end()
     return out
@@ -203,14 +209,21 @@ def candidates(text: str, start: int, end: int) -> tuple[list[int], list[tuple[i
     content = [t[0][0].isalnum() for t in tokens]
     digits = np.cumsum([0, *(len(t[0]) if t[0][0].isdigit() else 0 for t in tokens)])
     out = []
+    whole = (0, len(tokens)) if tokens and AT_MARK.search(text, start, end) else None
     for i, token in enumerate(tokens):
         if not (content[i] or token[0] in "+("):
             continue
-        for j in range(i + 1, min(len(tokens), i + MOST_MAIL_TOKENS) + 1):
+        for j in range(i + 1, len(tokens) + 1):
+            n = digits[j] - digits[i]
+            if (n > MOST_DIGITS if whole is None else j > i + MOST_PART_TOKENS):
+                break
             if content[j - 1] and (
-                j <= i + MOST_TOKENS and digits[j] - digits[i] >= LEAST_DIGITS or AT_MARK.search(text, bounds[i], bounds[j])
+                LEAST_DIGITS <= n <= MOST_DIGITS
+                or whole is not None and AT_MARK.search(text, bounds[i], bounds[j])
             ):
                 out.append((i, j))
+    if whole is not None and content[-1] and content[0] and whole not in out:
+        out.append(whole)
     return bounds, out
 
 

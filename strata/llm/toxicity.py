@@ -114,8 +114,12 @@ def remainder(doc_id: Column) -> Column:
 
 
 def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(doc_id, toxic, fold) of the labels to learn from: all, or by hash of doc_id about ``LABELLED`` of them."""
-    usable = labels.select("doc_id", F.col("toxic").cast("double").alias("toxic")).dropna().dropDuplicates(["doc_id"])
+    """(doc_id, toxic, fold) of the labels to learn from: all, or by hash of doc_id about ``LABELLED`` of them.
+
+    Of labels of one document that disagree the majority counts; where they are even, it is not learned from.
+    """
+    marks = labels.select("doc_id", F.col("toxic").cast("double").alias("toxic")).dropna().groupBy("doc_id").agg(F.avg("toxic").alias("toxic"))
+    usable = marks.filter(F.col("toxic") != 0.5).withColumn("toxic", (F.col("toxic") > 0.5).cast("double"))
     usable = usable.filter(remainder(F.col("doc_id")) != 0)
     share = LABELLED / max(LABELLED, usable.count())
     drawn = F.pmod(F.xxhash64(F.col("doc_id")), F.lit(1 << 30)) < int(share * (1 << 30))
@@ -172,7 +176,7 @@ def scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): held_out, score and predicted, as ``labels`` (doc_id, toxic) mark toxicity."""
     chosen = labelled(docs, labels)
     # At most about LABELLED rows of two numbers, whatever the corpus.
-    known = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    known = common.stage(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id"), "toxic-known")
     learned = learned_lexicon(known.filter("fold > 0").select("text", "toxic"))
     staged = common.stage(measured(docs, learned), "toxic-features")
     vectors = staged.withColumn("vector", array_to_vector("features"))
