@@ -8,7 +8,7 @@ from contract import standins as s
 from contract.registry import query
 from contract.standins import rounded
 from strata.functions.types import align_to
-from strata.operators import keys, rules
+from strata.operators import compare, keys, rules
 from strata.operators.upsert import rows_to_insert
 
 # Order date before ship date, price within limits, dates within a window; customers stand in for a nullable column.
@@ -205,3 +205,46 @@ def align_to_existing(spark, sf):
     )
     existing = part.select("p_partkey", F.col("p_size").cast("double").alias("p_size")).schema
     return align_to(update, existing)
+
+
+# --- equality with evidence -----------------------------------------------------------------------------------------
+
+VERSIONS_CTE = """WITH original AS (
+  SELECT l_orderkey, l_linenumber, l_returnflag, CAST(date_trunc('month', l_shipdate) AS DATE) AS ship_month, l_quantity
+  FROM lineitem),
+corrected AS (
+  SELECT l_orderkey, l_linenumber, l_returnflag, ship_month,
+         CASE WHEN l_orderkey % 1000 = 7 THEN l_quantity + 1 ELSE l_quantity END AS l_quantity
+  FROM original WHERE NOT (l_orderkey % 1500 = 11 AND l_linenumber = 1)),
+differing AS (
+  SELECT l_orderkey, l_linenumber, l_returnflag, ship_month, l_quantity, CAST(sum(n) AS BIGINT) AS surplus
+  FROM (SELECT *, 1 AS n FROM original UNION ALL SELECT *, -1 AS n FROM corrected)
+  GROUP BY l_orderkey, l_linenumber, l_returnflag, ship_month, l_quantity HAVING sum(n) <> 0)
+"""
+
+
+def _versions(spark, sf):
+    """Order lines, and a version of them with some quantities changed and some lines gone."""
+    lines = s.table(spark, sf, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_returnflag", F.trunc("l_shipdate", "MM").alias("ship_month"), "l_quantity"
+    )
+    changed = F.when(F.col("l_orderkey") % 1000 == 7, F.col("l_quantity") + 1).otherwise(F.col("l_quantity"))
+    kept = lines.filter(~((F.col("l_orderkey") % 1500 == 11) & (F.col("l_linenumber") == 1)))
+    return lines, kept.withColumn("l_quantity", changed)
+
+
+@query(
+    "differing_partitions_of_two_versions",
+    VERSIONS_CTE
+    + """SELECT m.ship_month, (SELECT count(*) FROM original o WHERE o.ship_month = m.ship_month) AS left_rows,
+       (SELECT count(*) FROM corrected c WHERE c.ship_month = m.ship_month) AS right_rows
+FROM (SELECT DISTINCT ship_month FROM differing) m""",
+)
+def differing_partitions_of_two_versions(spark, sf):
+    return compare.differing_partitions(*_versions(spark, sf), ["ship_month"])
+
+
+@query("rows_that_differ_in_two_versions", VERSIONS_CTE + "SELECT * FROM differing")
+def rows_that_differ_in_two_versions(spark, sf):
+    found = compare.differences_by_partition(*_versions(spark, sf), ["ship_month"])
+    return found.withColumnRenamed("_surplus", "surplus").withColumn("surplus", F.col("surplus").cast("long"))

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Iterable, Sequence
+from datetime import datetime
 from pathlib import Path
 from typing import Literal
 
@@ -20,7 +22,8 @@ from strata.sources.files import (
     MALFORMED, SOURCE_FILE, apply_filter, list_files, literal, not_yet_ingested, path_exists, read_files, union_update,
 )
 from strata.sources.tables import (
-    child_names, cluster_for_write, current_path, prepare_bronze, read_table, remove_table, table_exists, write_table,
+    child_names, cluster_for_write, current_path, prepare_bronze, read_note, read_table, remove_table, table_exists, write_note,
+    write_table,
 )
 
 # Fixed layout of the register of loaded files.
@@ -96,7 +99,8 @@ def _file_rows(spark: SparkSession, cfg: DatasetConfig, files: Sequence) -> Data
 def begin_load(spark: SparkSession, lake: Lake, cfg: DatasetConfig, files: Sequence, *, append: bool) -> str:
     load = f"{'append' if append else 'full'}-{uuid.uuid4().hex}"
     if files:
-        _file_rows(spark, cfg, files).write.parquet(f"{lake.load_intents}/{cfg.name}/{load}")
+        noted = [[f["path"], f["size"], f["modified_at"].isoformat()] for f in files]
+        write_note(spark, f"{lake.load_intents}/{cfg.name}/{load}", json.dumps(noted))
     return load
 
 
@@ -121,11 +125,12 @@ def settle_loads(spark: SparkSession, lake: Lake, cfg: DatasetConfig) -> None:
     append has written is removed, whole or not, and its files are new again.
     """
     registered = set(child_names(spark, lake.ingested_files))
-    for load in child_names(spark, f"{lake.load_intents}/{cfg.name}"):
+    for load in sorted(child_names(spark, f"{lake.load_intents}/{cfg.name}")):
         written = [] if load in registered else load_directories(spark, lake, cfg, load)
         if written and load.startswith("full"):
-            intent = spark.read.schema(REGISTER_SCHEMA).parquet(f"{lake.load_intents}/{cfg.name}/{load}")
-            intent.coalesce(1).write.mode("overwrite").parquet(f"{lake.ingested_files}/{load}")
+            noted = json.loads(read_note(spark, f"{lake.load_intents}/{cfg.name}/{load}"))
+            files = [(path, size, datetime.fromisoformat(at)) for path, size, at in noted]
+            _file_rows(spark, cfg, files).write.mode("overwrite").parquet(f"{lake.ingested_files}/{load}")
         else:
             for path in written:
                 remove_table(spark, path)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Sequence
 from pathlib import Path
 from typing import Any
@@ -20,7 +21,7 @@ from strata.plans.bronze import read_update
 from strata.plans.concurrent import side_by_side
 from strata.plans.runs import record_run
 from strata.sources.files import apply_filter
-from strata.sources.tables import cluster_for_write, read_table, table_exists, write_table
+from strata.sources.tables import cluster_for_write, read_table, remove_table, table_exists, write_table
 
 
 def _write_counted(
@@ -128,15 +129,18 @@ def merge_frame(
     Rejects are appended and repeated keys inside the update are dropped.  New columns extend the table.
     """
     spark = update.sparkSession
+    # Read once: the update is asked for its good rows, its rejects, its days and its count.
+    staging = lake.staging(f"update-{uuid.uuid4().hex}")
+    update = read_table(spark, write_table(update, staging, cluster=False))
     checked = run_row_checks(update, rules)
-    rejected = 0
-    if not checked.rejects_df.isEmpty():
-        rejected = _write_rejects(checked.rejects_df, lake, table, "append")
     target = read_table(spark, lake.silver(table))
     source = align_to(checked.good_df, target.schema)
     key = [c for c in primary_key if c in source.columns]
     fresh = rows_to_insert(source, target, key, null_safe=null_safe, prune_by=prune_by)
     inserted = _write_counted(fresh, lake.silver(table), partition_by, mode="append")
+    # Last, as it is the step that a second run would repeat: rows that are inserted are known then.
+    rejected = 0 if checked.rejects_df.isEmpty() else _write_rejects(checked.rejects_df, lake, table, "append")
+    remove_table(spark, staging)
     return inserted, rejected
 
 
