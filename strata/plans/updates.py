@@ -7,12 +7,11 @@ very large source is itself a distributed write.
 from __future__ import annotations
 
 import math
-import uuid
 from dataclasses import dataclass
 from datetime import date, datetime
 from pathlib import Path
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from strata.config import DEFAULT_DIRECTORY, load_dataset
@@ -20,7 +19,7 @@ from strata.functions.numeric import clamp, pm25_to_aqi, relative_noise
 from strata.functions.temporal import date_and_time, shift_seconds, timestamp_from_parts
 from strata.lake import Lake
 from strata.operators.sampling import fraction_sample, random_rows
-from strata.sources.tables import remove_table, write_export
+from strata.plans.concurrent import side_by_side
 
 # Fractions that make sense for an update, the year taken, noise and limits per measure.
 NEW_FRACTION = (0.05, 0.10)
@@ -171,52 +170,51 @@ def air_quality_update(
     )
 
 
-def _write_csv(df: DataFrame, path: str) -> None:
-    df.hint("rebalance").write.mode("overwrite").option("header", True).csv(path)
+def write_observed(df: DataFrame, path: str, fmt: str, **figures: Column) -> dict:
+    """Write an update and take figures of what was written in the same pass; ``_``-columns are not written.
+
+    The figures are taken above the last shuffle, where a retried task is not counted twice.
+    """
+    seen = Observation()
+    kept = [c for c in df.columns if not c.startswith("_")]
+    framed = df.hint("rebalance").observe(seen, *[column.alias(name) for name, column in figures.items()]).select(*[F.col(f"`{c}`") for c in kept])
+    framed.write.mode("overwrite").format(fmt).option("header", True).save(path)
+    return seen.get
 
 
 def run_all_generators(
     spark: SparkSession, lake: Lake, seed: int = 42, config_dir: Path | str = DEFAULT_DIRECTORY
 ) -> list[UpdateReport]:
-    """Generate the three updates where the configuration of their datasets expects them, and report on each.
+    """Generate the three updates where the configuration of their datasets expects them, side by side, and report on each.
 
-    The figures are read from the written update, so they describe exactly what was stored.
+    The figures are taken while the update is written, so they describe exactly what was stored.
     """
-    reports = []
-
-    def raw_csv(path: str) -> DataFrame:
-        return spark.read.option("header", True).csv(lake.raw(path))
-
     declared = {name: load_dataset(name, config_dir) for name in ("taxi_trips", "weather", "air_quality")}
-    trips = spark.read.parquet(lake.raw(declared["taxi_trips"].path))
-    new, copies, total = trips_update(trips, seed=seed)
-    path = lake.raw(declared["taxi_trips"].update_path)
-    staged = lake.staging(f"trips_update-{uuid.uuid4().hex}")
-    write_export(new.withColumn("_new", F.lit(True)).unionByName(copies.withColumn("_new", F.lit(False))), staged)
-    tagged = spark.read.parquet(staged)
-    write_export(tagged.drop("_new"), path)
-    pickup = F.col("tpep_pickup_datetime")
-    fresh, repeats, start, end = tagged.agg(
-        F.count_if("_new"), F.count_if(~F.col("_new")), F.min(F.when(F.col("_new"), pickup)),
-        F.max(F.when(F.col("_new"), pickup)),
-    ).first()
-    reports.append(UpdateReport("taxi_trips", path, total, fresh, repeats, start, end))
-    remove_table(spark, staged)
-
-    weather = raw_csv(declared["weather"].path)
-    path = lake.raw(declared["weather"].update_path)
-    _write_csv(weather_update(weather, seed=seed), path)
-    written = raw_csv(declared["weather"].update_path)
-    at = timestamp_from_parts("year", "month", "day", "hour")
-    rows, start, end = written.agg(F.count(F.lit(1)), F.min(at), F.max(at)).first()
-    reports.append(UpdateReport("weather", path, weather.count(), rows, 0, start, end))
-
-    air = raw_csv(declared["air_quality"].path)
-    path = lake.raw(declared["air_quality"].update_path)
-    _write_csv(air_quality_update(air, seed=seed), path)
-    written = raw_csv(declared["air_quality"].update_path)
-    at = date_and_time("Date GMT", "Time GMT")
-    rows, start, end = written.agg(F.count(F.lit(1)), F.min(at), F.max(at)).first()
-    own = air.filter(F.col("State Code").try_cast("int") == STATE_CODE).count()
-    reports.append(UpdateReport("air_quality", path, own, rows, 0, start, end))
-    return reports
+    target = {name: lake.raw(cfg.update_path) for name, cfg in declared.items()}
+
+    def raw_csv(name: str) -> DataFrame:
+        return spark.read.option("header", True).csv(lake.raw(declared[name].path))
+
+    def trips() -> UpdateReport:
+        source = spark.read.parquet(lake.raw(declared["taxi_trips"].path))
+        new, copies, total = trips_update(source, seed=seed)
+        both = new.withColumn("_new", F.lit(True)).unionByName(copies.withColumn("_new", F.lit(False)))
+        pickup = F.when(F.col("_new"), F.col("tpep_pickup_datetime"))
+        seen = write_observed(
+            both, target["taxi_trips"], "parquet", fresh=F.count_if("_new"), repeats=F.count_if(~F.col("_new")), start=F.min(pickup), end=F.max(pickup)
+        )
+        return UpdateReport("taxi_trips", target["taxi_trips"], total, seen["fresh"], seen["repeats"], seen["start"], seen["end"])
+
+    def hourly(name: str, make, at: Column, counted: Column) -> UpdateReport:
+        source = raw_csv(name)
+        seen = write_observed(make(source, seed=seed), target[name], "csv", rows=F.count(F.lit(1)), start=F.min(at), end=F.max(at))
+        return UpdateReport(name, target[name], source.filter(counted).count(), seen["rows"], 0, seen["start"], seen["end"])
+
+    made = side_by_side(spark, {
+        "taxi_trips": trips,
+        "weather": lambda: hourly("weather", weather_update, timestamp_from_parts("year", "month", "day", "hour"), F.lit(True)),
+        "air_quality": lambda: hourly(
+            "air_quality", air_quality_update, date_and_time("Date GMT", "Time GMT"), F.col("State Code").try_cast("int") == STATE_CODE
+        ),
+    })
+    return [made[name] for name in declared]
