@@ -2,7 +2,7 @@
 
 Patterns find emails, ip addresses, cards and phones in their plain form; these spans always stay.  What the patterns
 miss (a phone without its plus, an email with its at and dot spelled out) is searched in the regions of a text that hold
-enough digits or an at sign.  There the model scores whole candidate spans, of at most ``MOST_TOKENS`` tokens, from
+enough digits or an at sign.  There the model scores whole candidate spans, of at most ``MOST_DIGITS`` digits, from
 features of the whole span (digits, groups, marks, checksum, shape, words before it), and dynamic programming chooses
 boundaries and kinds together.
 

@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from strata.llm import main_text, personal_data, quality, toxicity
+from strata.llm import main_text, personal_data, quality, toxicity, url_filter
 
 SF = "/root/testdata/sf0.001"
 
@@ -102,3 +102,28 @@ def test_a_rule_whose_stated_accuracy_is_wrong_is_corrected():
     assert (stated != estimated).sum() > 3000
     truth = (votes == -1).any(axis=1)
     assert (stated == truth).mean() < 0.8 and (estimated == truth).mean() > 0.99
+
+
+def test_hot_and_null_urls_are_spread(spark, monkeypatch):
+    monkeypatch.setattr(url_filter, "HOT_LEAST", 10)
+    hot = "http://free-bets.example.org/x"
+    rows = [(k, hot if k % 3 == 0 else None if k % 3 == 1 else f"http://www.example.com/en/{k}") for k in range(3000)] + [(0, hot), (1, None)]
+    pages = spark.createDataFrame(rows, "page_id long, url string").withColumn("place", F.lit("x")).withColumn("hot", F.lit("x")).withColumn("n", F.lit(1))
+    found = url_filter.verdicts(pages).collect()
+    assert len(found) == len(rows)
+    seen = {(r["rule"], r["verdict"], r["pattern"] is not None) for r in found if r["page_id"] % 3 == 0}
+    assert seen == {(None, "block", True)}
+    assert {(r["rule"], r["verdict"], r["host"]) for r in found if r["page_id"] % 3 == 1} == {(None, "allow", "")}
+    assert {(r["rule"], r["verdict"]) for r in found if r["page_id"] % 3 == 2} == {("www.example.com/en/", "allow")}
+
+
+@pytest.mark.parametrize("few", [True, False])
+def test_rules_from_tables_are_those_from_lists(spark, monkeypatch, few):
+    monkeypatch.setattr(url_filter, "BROADCAST_RULES", 1000 if few else 2)
+    pages = spark.read.parquet(f"{SF}/pages.parquet")
+    hosts = spark.createDataFrame(url_filter.HOST_RULES, "rule_host string, prefix string, says string")
+    patterns = spark.createDataFrame(url_filter.PATTERN_RULES, "pattern string, literals array<string>")
+    key = lambda df: sorted(map(str, df.collect()))
+    assert key(url_filter.verdicts(pages, hosts, patterns)) == key(url_filter.verdicts(pages))
+    none = url_filter.verdicts(pages, hosts.filter("false"), []).select("rule", "pattern", "verdict").distinct().collect()
+    assert [tuple(r) for r in none] == [(None, None, "allow")]
