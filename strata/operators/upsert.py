@@ -4,11 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strata.functions.types import align_to
 from strata.operators.keys import first_per_key, null_safe_match
 
+# What Spark says of a table whose format has no row-level operations.
+NO_MERGE = "UNSUPPORTED_FEATURE.TABLE_OPERATION"
+
 
 def target_key_set(target: DataFrame, keys: Sequence[str], null_safe: bool = False) -> DataFrame:
     """Distinct target keys.  The distinct combines before its shuffle and leaves the rows placed for the join."""
@@ -41,3 +46,25 @@ def rows_to_insert(
         return candidates.join(known, list(keys), "left_anti")
     known = known.toDF(*[f"_k_{k}" for k in keys])
     return candidates.join(known, null_safe_match(candidates, known, keys, "_k_"), "left_anti")
+
+
+def merge_into_table(source: DataFrame, table: str, keys: Sequence[str], *, null_safe: bool = False) -> str:
+    """Insert the source rows, one per key, whose key a catalog table lacks; returns the way taken.
+
+    A table whose format can merge does it in one statement (``merge``), atomically and with new columns where the format
+    evolves; for another one the missing rows are found by an anti join and appended (``append``), in its own columns.
+    """
+    spark = source.sparkSession
+    equals = "<=>" if null_safe else "="
+    match = " AND ".join(f"{table}.`{k}` {equals} _source.`{k}`" for k in keys)
+    try:
+        merge = first_per_key(source, keys).alias("_source").mergeInto(table, F.expr(match)).whenNotMatched().insertAll()
+        merge.withSchemaEvolution().merge()
+        return "merge"
+    except PySparkException as refused:
+        if refused.getCondition() != NO_MERGE:
+            raise
+    target = spark.table(table)
+    fresh = align_to(rows_to_insert(source, target, keys, null_safe=null_safe), target.schema)
+    fresh.select(*target.columns).write.mode("append").saveAsTable(table)
+    return "append"
