@@ -5,7 +5,6 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Iterable, Sequence
-from datetime import datetime
 from pathlib import Path
 from typing import Literal
 
@@ -22,12 +21,12 @@ from strata.sources.files import (
     MALFORMED, SOURCE_FILE, apply_filter, list_files, literal, not_yet_ingested, path_exists, read_files, union_update,
 )
 from strata.sources.tables import (
-    child_names, cluster_for_write, current_path, prepare_bronze, read_note, read_table, remove_table, table_exists, write_note,
+    child_names, cluster_for_write, current_path, file_system, prepare_bronze, read_table, remove_table, table_exists, write_note,
     write_table,
 )
 
 # Fixed layout of the register of loaded files.
-REGISTER_SCHEMA = "dataset string, path string, size bigint, modified_at timestamp"
+REGISTER_SCHEMA = "dataset string, path string, size bigint, modified_ms bigint"
 
 # The partition column of bronze tables that names the load of a row.
 LOAD_COLUMN = "_load"
@@ -86,29 +85,36 @@ def new_update_files(spark: SparkSession, lake: Lake, cfg: DatasetConfig) -> Dat
 
 # --- loads ----------------------------------------------------------------------------------------------------------
 #
-# A load has an id.  Its files are noted as an intent before anything is written, its rows go to partition directories of
-# that id, and its files are registered under that id afterwards; then the intent goes.  An intent that is found later
-# belongs to a load that did not get to its end.
+# A load has an id.  Its files are noted as an intent before anything is written, and its rows go to partition directories
+# of that id.  Renaming the note into the register is what makes the load done; a note that is still an intent later belongs
+# to a load that did not get to its end.
 
 
-def _file_rows(spark: SparkSession, cfg: DatasetConfig, files: Sequence) -> DataFrame:
-    """Their names were needed to build the scan, so the rows are at hand."""
-    return spark.createDataFrame([(cfg.name, *f) for f in files], REGISTER_SCHEMA).coalesce(1)
+def intent_path(lake: Lake, cfg: DatasetConfig, load: str) -> str:
+    return f"{lake.load_intents}/{cfg.name}/{load}.json"
 
 
 def begin_load(spark: SparkSession, lake: Lake, cfg: DatasetConfig, files: Sequence, *, append: bool) -> str:
+    """Note the files (path, size, time), whose names were needed to build the scan, as one line each."""
     load = f"{'append' if append else 'full'}-{uuid.uuid4().hex}"
     if files:
-        noted = [[f["path"], f["size"], f["modified_at"].isoformat()] for f in files]
-        write_note(spark, f"{lake.load_intents}/{cfg.name}/{load}", json.dumps(noted))
+        rows = [{"dataset": cfg.name, "path": f["path"], "size": f["size"], "modified_ms": round(f["modified_at"].timestamp() * 1000)} for f in files]
+        write_note(spark, intent_path(lake, cfg, load), "\n".join(map(json.dumps, rows)))
     return load
 
 
 def finish_load(spark: SparkSession, lake: Lake, cfg: DatasetConfig, load: str, files: Sequence) -> None:
-    """Register the files, in a directory of this load alone, so that jobs of other processes cannot interfere."""
+    """Register the files, in a note of this load alone, so that jobs of other processes cannot interfere."""
     if files:
-        _file_rows(spark, cfg, files).write.mode("overwrite").parquet(f"{lake.ingested_files}/{load}")
-        remove_table(spark, f"{lake.load_intents}/{cfg.name}/{load}")
+        register_load(spark, lake, cfg, load)
+
+
+def register_load(spark: SparkSession, lake: Lake, cfg: DatasetConfig, load: str) -> None:
+    fs, intent = file_system(spark, intent_path(lake, cfg, load))
+    _, registered = file_system(spark, f"{lake.ingested_files}/{load}.json")
+    fs.mkdirs(registered.getParent())
+    if not fs.rename(intent, registered):
+        raise RuntimeError(f"{cfg.name}: the files of load {load} could not be registered")
 
 
 def load_directories(spark: SparkSession, lake: Lake, cfg: DatasetConfig, load: str) -> list[str]:
@@ -124,24 +130,23 @@ def settle_loads(spark: SparkSession, lake: Lake, cfg: DatasetConfig) -> None:
     A full load became the table in one step: if it did, its files are registered, else nothing of it is left.  What an
     append has written is removed, whole or not, and its files are new again.
     """
-    registered = set(child_names(spark, lake.ingested_files))
-    for load in sorted(child_names(spark, f"{lake.load_intents}/{cfg.name}")):
-        written = [] if load in registered else load_directories(spark, lake, cfg, load)
+    for name in sorted(child_names(spark, f"{lake.load_intents}/{cfg.name}")):
+        load = name.removesuffix(".json")
+        written = load_directories(spark, lake, cfg, load)
         if written and load.startswith("full"):
-            noted = json.loads(read_note(spark, f"{lake.load_intents}/{cfg.name}/{load}"))
-            files = [(path, size, datetime.fromisoformat(at)) for path, size, at in noted]
-            _file_rows(spark, cfg, files).write.mode("overwrite").parquet(f"{lake.ingested_files}/{load}")
-        else:
-            for path in written:
-                remove_table(spark, path)
-        remove_table(spark, f"{lake.load_intents}/{cfg.name}/{load}")
+            register_load(spark, lake, cfg, load)
+            continue
+        for path in written:
+            remove_table(spark, path)
+        remove_table(spark, intent_path(lake, cfg, load))
 
 
 def registered_files(spark: SparkSession, lake: Lake, cfg: DatasetConfig) -> DataFrame | None:
     if not table_exists(spark, lake.ingested_files):
         return None
-    register = spark.read.schema(REGISTER_SCHEMA).option("recursiveFileLookup", True).parquet(literal(lake.ingested_files))
-    return register.filter(F.col("dataset") == cfg.name)
+    register = spark.read.schema(REGISTER_SCHEMA).json(literal(lake.ingested_files))
+    at = F.timestamp_millis("modified_ms").alias("modified_at")
+    return register.filter(F.col("dataset") == cfg.name).select("dataset", "path", "size", at)
 
 
 def keep_malformed_lines(spark: SparkSession, lake: Lake, cfg: DatasetConfig, lines: DataFrame, load: str, *, append: bool) -> int:
