@@ -3,8 +3,9 @@
 The plan depends on the number of pieces of each length only, so at most ``capacity`` counts reach the driver however
 many pieces there are.  Large lengths are split into groups of equal cardinality and rounded up to the largest of their
 group; a linear program over the few rounded sizes, solved by column generation, says how often each configuration is
-used.  Actual lengths then take the places of the rounded ones, and what is left, small pieces above all, is best-fitted
-by decreasing length into the room that is free.  Equal lengths are interchangeable: a piece finds its place from its
+used.  Actual lengths then take the places of the rounded ones; large pieces that whole uses leave over are grouped and
+solved again.  Small pieces, and the few large ones of the last round, are best-fitted by decreasing length into the room
+that is free.  Equal lengths are interchangeable: a piece finds its place from its
 length and its number among the pieces of that length.
 """
 
@@ -23,11 +24,15 @@ from pyspark.sql.window import Window
 from strata.llm import common, tokens
 
 CAPACITY = 1024
-GROUPS = 64
+GROUPS = 192
+#: Rounds on what earlier ones left over have fewer groups, but not fewer than these.
+FEWEST_GROUPS = 32
 #: Pieces of at most this share of the capacity are small: they only fill the room that large ones leave.
 SMALL_SHARE = 1 / 8
-#: Room, as a share of the capacity, that a configured bin may have before the small pieces come.
-ROOM_LIMITS = (1, 1 / 64, 1 / 256, 1 / 512, 0)
+#: Share of the bins by which the linear program's solution may miss its optimum.
+GAP = 1e-4
+#: How far prices are drawn towards the best feasible ones, from 0 to below 1.
+DRAWN = 0.8
 #: Pieces numbered by one task at a time.
 PIECES_PER_BUCKET = 50_000
 
@@ -101,39 +106,67 @@ def grouped(counts: dict[int, int], groups: int) -> list[list[list[int]]]:
     return out
 
 
+def dearest(size: np.ndarray, prices: np.ndarray, capacity: int) -> tuple[float, np.ndarray]:
+    """The configuration of the highest price that fits (an unbounded knapsack over the room), ``size`` ascending."""
+    fitting = np.searchsorted(size, np.arange(capacity + 1), "right")
+    best, choice = np.zeros(capacity + 1), np.full(capacity + 1, -1)
+    for room in range(int(size[0]), capacity + 1):
+        n = fitting[room]
+        values = prices[:n] + best[room - size[:n]]
+        at = int(values.argmax())
+        if values[at] > best[room - 1]:
+            best[room], choice[room] = values[at], at
+        else:
+            best[room] = best[room - 1]
+    column, room = np.zeros(len(size)), capacity
+    while room >= size[0]:
+        if choice[room] < 0:
+            room -= 1
+        else:
+            column[choice[room]] += 1
+            room -= int(size[choice[room]])
+    return float(best[capacity]), column
+
+
 def configurations(sizes: list[int], demands: list[int], capacity: int) -> list[tuple[np.ndarray, float]]:
     """Configurations of the rounded sizes and how often each is used, from the linear program of the fewest bins.
 
-    Column generation: the basis starts with one size per configuration, and a knapsack over the dual prices finds the
-    configuration to enter until none pays.
+    Column generation: the basis starts with one size per configuration; a knapsack over prices finds the configuration
+    to enter.  The prices asked are drawn towards the best feasible ones so far (at first each size's share of the
+    capacity), which spares most of the steps that change nothing.  It ends when the bins used are within ``GAP`` of the
+    bound that those prices prove.
     """
-    k = len(sizes)
-    size, demand = np.array(sizes), np.array(demands, dtype=float)
+    order = np.argsort(sizes, kind="stable")
+    size, demand = np.array(sizes)[order], np.array(demands, dtype=float)[order]
+    inverse = np.diag(1 / (capacity // size))
     basis = np.diag((capacity // size).astype(float))
-    for _ in range(50 * k):
-        inverse = np.linalg.inv(basis)
-        prices = inverse.sum(axis=0)
-        best, choice = np.zeros(capacity + 1), np.full(capacity + 1, -1)
-        for room in range(int(size.min()), capacity + 1):
-            fits = np.flatnonzero(size <= room)
-            values = prices[fits] + best[room - size[fits]]
-            at = int(values.argmax())
-            best[room], choice[room] = best[room - 1], -2
-            if values[at] > best[room]:
-                best[room], choice[room] = values[at], fits[at]
-        if best[capacity] <= 1 + 1e-9:
+    feasible = size / capacity
+    for turn in range(1, 100 * len(size)):
+        used = inverse @ demand
+        if used.sum() - feasible @ demand <= GAP * used.sum():
             break
-        column, room = np.zeros(k), capacity
-        while room > 0 and choice[room] != -1:
-            if choice[room] == -2:
-                room -= 1
-            else:
-                column[choice[room]] += 1
-                room -= int(size[choice[room]])
-        step, used = inverse @ column, inverse @ demand
+        prices = inverse.sum(axis=0)
+        value, column = dearest(size, DRAWN * feasible + (1 - DRAWN) * prices, capacity)
+        asked = (DRAWN * feasible + (1 - DRAWN) * prices) / max(value, 1)
+        if asked @ demand > feasible @ demand:
+            feasible = asked
+        if prices @ column <= 1 + 1e-9:
+            value, column = dearest(size, prices, capacity)
+            if value <= 1 + 1e-9:
+                break
+        step = inverse @ column
         ratios = np.where(step > 1e-9, np.maximum(used, 0) / np.where(step > 1e-9, step, 1), np.inf)
-        basis[:, int(ratios.argmin())] = column
-    return list(zip(basis.T, np.linalg.inv(basis) @ demand, strict=True))
+        leaving = int(ratios.argmin())
+        basis[:, leaving] = column
+        if turn % 64:
+            row = inverse[leaving] / step[leaving]
+            inverse = inverse - np.outer(step, row)
+            inverse[leaving] = row
+        else:  # from scratch, so that rounding errors do not pile up
+            inverse = np.linalg.inv(basis)
+    columns = np.zeros_like(basis)
+    columns[order] = basis
+    return list(zip(columns.T, np.linalg.inv(basis) @ demand, strict=True))
 
 
 def take(queue: list[list[int]], n: int) -> list[list[int]]:
@@ -209,27 +242,31 @@ def best_fit(runs: list[Run], rest: dict[int, int], capacity: int) -> list[Run]:
     return done + [run for room in sorted(free) for run in free[room]]
 
 
-def plan(counts: dict[int, int], capacity: int = CAPACITY, groups: int = GROUPS) -> list[Run]:
-    """Runs of equal bins: (number of bins, [(length, pieces of that length in each bin)]).
+def scheme(counts: dict[int, int], capacity: int, groups: int) -> tuple[list[Run], dict[int, int]]:
+    """Bins of configurations for large lengths, and the pieces that are left: small ones, and large ones of the last round.
 
-    Rounding leaves room in the configured bins.  Those with more room than a limit are taken apart again and their
-    pieces best-fitted with the rest; of the limits tried, the one that needs the fewest bins counts.
+    A configuration is used a whole number of times, so each round leaves some large pieces; the next one groups and
+    solves these alone, with half as many groups, until no configuration is used a whole time.
     """
-    full = [(counts[capacity], [(capacity, 1)])] if counts.get(capacity) else []
-    pieces_left = {length: n for length, n in counts.items() if 0 < length < capacity and n}
-    large = grouped({length: n for length, n in pieces_left.items() if length > capacity * SMALL_SHARE}, groups)
-    runs = configured(large, capacity) if large else []
-    best: list[Run] | None = None
-    for limit in ROOM_LIMITS:
-        kept = [run for run in runs if room_of(run[1], capacity) <= limit * capacity]
-        rest = dict(pieces_left)
-        for bins, content in kept:
+    runs: list[Run] = []
+    rest = dict(counts)
+    while True:
+        large = grouped({length: n for length, n in rest.items() if length > capacity * SMALL_SHARE and n}, groups)
+        found = configured(large, capacity) if large else []
+        if not found:
+            return runs, {length: n for length, n in rest.items() if n}
+        for bins, content in found:
             for length, times in content:
                 rest[length] -= bins * times
-        found = best_fit(kept, {length: n for length, n in rest.items() if n}, capacity)
-        if best is None or sum(n for n, _ in found) < sum(n for n, _ in best):
-            best = found
-    return full + (best or [])
+        runs += found
+        groups = max(FEWEST_GROUPS, groups // 2)
+
+
+def plan(counts: dict[int, int], capacity: int = CAPACITY, groups: int = GROUPS) -> list[Run]:
+    """Runs of equal bins: (number of bins, [(length, pieces of that length in each bin)])."""
+    full = [(counts[capacity], [(capacity, 1)])] if counts.get(capacity) else []
+    runs, rest = scheme({length: n for length, n in counts.items() if 0 < length < capacity and n}, capacity, groups)
+    return full + best_fit(runs, rest, capacity)
 
 
 def places(runs: list[Run]) -> list[tuple[int, int, int, int, int, int]]:

@@ -106,7 +106,45 @@ def test_plans_hold_every_piece_and_are_close_to_the_bound(capacity):
             for length, times in content:
                 held[length] += bins * times
         assert held == counts
-        assert sum(bins for bins, _ in runs) <= 1.15 * -(-sum(counts.elements()) // capacity) + 2
+        assert sum(bins for bins, _ in runs) <= 1.03 * -(-sum(counts.elements()) // capacity) + 2
+
+
+def test_large_pieces_are_placed_by_configurations():
+    draw = random.Random(5)
+    counts = Counter(min(1023, int(draw.lognormvariate(6, 0.7)) + 1) for _ in range(12_000))
+    runs, rest = packing.scheme(dict(counts), 1024, packing.GROUPS)
+    small = 1024 * packing.SMALL_SHARE
+    large = sum(n for length, n in counts.items() if length > small)
+    placed = sum(bins * times for bins, content in runs for length, times in content if length > small)
+    assert placed == large - sum(n for length, n in rest.items() if length > small) and placed >= 0.99 * large
+    # Rounding up within groups costs at most the bins of one group, each of a piece of its own.
+    bound = -(-sum(counts.elements()) // 1024) + -(-large // packing.GROUPS)
+    assert sum(bins for bins, _ in packing.plan(dict(counts))) <= bound
+
+
+def fewest_bins(lengths, capacity):
+    """The optimum of a few pieces: over subsets, the fewest bins and then the fullest last one's least content."""
+    best = {0: (0, capacity)}
+    for chosen in range(1, 1 << len(lengths)):
+        options = []
+        for i, length in enumerate(lengths):
+            if chosen >> i & 1:
+                bins, last = best[chosen ^ (1 << i)]
+                options.append((bins, last + length) if last + length <= capacity else (bins + 1, length))
+        best[chosen] = min(options)
+    return best[(1 << len(lengths)) - 1][0]
+
+
+def test_plans_of_a_few_pieces_are_near_the_optimum():
+    draw = random.Random(6)
+    exact = 0
+    for _ in range(60):
+        lengths = [draw.randint(1, 20) for _ in range(draw.randint(1, 9))]
+        bins = sum(n for n, _ in packing.plan(dict(Counter(lengths)), 20))
+        optimum = fewest_bins(lengths, 20)
+        assert optimum <= bins <= optimum + 1
+        exact += bins == optimum
+    assert exact >= 54
 
 
 def test_packing(spark, docs, nothing):
