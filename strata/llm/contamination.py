@@ -3,7 +3,7 @@
 Documents are dealt into shards of bounded size.  Each shard sorts its suffixes (sequences of word ids, to the depth of
 a window; suffixes whose first words occur nowhere in the benchmark cannot match and are left out), every test suffix is
 binary-searched in it, and the ranges found are the verbatim matches with their places.  Matches of consecutive suffixes
-along one diagonal join into the longest ones.
+along one diagonal join into the longest ones; each hit span of a document keeps its longest, beside all items found.
 
 A window is ``WINDOW`` consecutive words of an item; an item of fewer words, but not none, is one window.  Words are runs
 of ASCII digits, letters (A-Z lower-cased) and non-ASCII characters.  Null and empty texts have no words.  Items with
@@ -12,8 +12,10 @@ the same words are searched once.  The benchmark is processed in blocks of bound
 
 from __future__ import annotations
 
+import uuid
+from bisect import bisect_right
 from collections.abc import Iterator
-from itertools import repeat
+from itertools import groupby, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -36,37 +38,59 @@ FOUND_ARROW = pa.struct([
 
 
 class Tests:
-    """A block of benchmark items: their word ids, and each suffix of a window's depth."""
+    """A block of benchmark items: their word ids, and each suffix of a window's depth, all as sorted arrays."""
 
     def __init__(self, items: list[tuple[str, str | None]], window: int) -> None:
-        by_words: dict[tuple[bytes, ...], list[str]] = {}
-        for item_id, text in items:
-            if words := tuple(common.words_of(text)):
-                by_words.setdefault(words, []).append(item_id)
         self.window = window
         self.vocabulary: dict[bytes, int] = {}
         number = self.vocabulary.setdefault
+        by_words: dict[bytes, list[str]] = {}
+        for item_id, text in items:
+            words = common.words_of(text)
+            ids = np.fromiter((number(w, len(self.vocabulary) + 1) for w in words), dtype=np.int32, count=len(words))
+            if len(ids):
+                by_words.setdefault(ids.tobytes(), []).append(item_id)
         self.names = list(by_words.values())
-        self.suffixes: dict[tuple[int, ...], list[tuple[int, int]]] = {}
-        for item, words in enumerate(by_words):
-            ids = [number(w, len(self.vocabulary) + 1) for w in words]
-            for at in range(max(1, len(ids) - window + 1)):
-                self.suffixes.setdefault(tuple(ids[at : at + window]), []).append((item, at))
+        self.labels = [min(names) for names in self.names]
+        sizes = np.array([len(ids) // 4 for ids in by_words], dtype=np.int64)
+        ends = np.zeros(4 * window, dtype=np.uint8).tobytes()
+        padded = np.frombuffer(b"".join(part for ids in by_words for part in (ids, ends)), dtype=np.int32)
+        suffixes = np.maximum(1, sizes - window + 1)
+        item = np.repeat(np.arange(len(sizes)), suffixes)
+        start = np.arange(len(item)) - np.repeat(np.cumsum(suffixes) - suffixes, suffixes)
+        at = (np.cumsum(sizes + window) - sizes - window)[item] + start
+        rows = padded[at[:, None] + np.arange(window)[None, :]] if len(at) else np.zeros((0, window), dtype=np.int32)
+        keys, first, which, times = np.unique(sortable(rows), return_index=True, return_inverse=True, return_counts=True)
+        order = np.argsort(which, kind="stable")
+        self.item, self.start = item[order].astype(np.int32), start[order].astype(np.int32)
+        self.bounds = np.concatenate([[0], np.cumsum(times)])
+        self.lengths = np.minimum(window, sizes[item[first]])
+        self.whole, self.short = np.flatnonzero(self.lengths == window), np.flatnonzero(self.lengths < window)
+        self.keys = keys[self.whole]
+        self.short_words = [rows[first[s], : self.lengths[s]] for s in self.short]
+        begins = rows[first]
         self.single = np.zeros(len(self.vocabulary) + 1, dtype=bool)
-        pairs = set()
-        for suffix in self.suffixes:
-            if len(suffix) == 1:
-                self.single[suffix[0]] = True
-            else:
-                pairs.add((suffix[0] << 32) + suffix[1])
-        self.pairs = np.array(sorted(pairs), dtype=np.int64)
+        self.single[begins[self.lengths == 1, 0]] = True
+        begins = begins[self.lengths > 1].astype(np.int64)
+        self.pairs = np.unique((begins[:, 0] << 32) + begins[:, 1]) if window > 1 else np.zeros(0, dtype=np.int64)
         self.starts = np.zeros(len(self.vocabulary) + 1, dtype=bool)
         self.starts[self.pairs >> 32] = True
-        self.whole = [suffix for suffix in self.suffixes if len(suffix) == window]
-        self.short = [suffix for suffix in self.suffixes if len(suffix) < window]
-        self.places = [self.suffixes[suffix] for suffix in self.whole + self.short]
-        self.lengths = np.array([window] * len(self.whole) + [len(suffix) for suffix in self.short], dtype=np.int64)
-        self.keys = sortable(np.array(self.whole, dtype=np.int64).reshape(-1, window))
+
+    def places(self, suffix: int) -> Iterator[tuple[int, int]]:
+        """(item, first word) of every place where a suffix stands in the block."""
+        low, high = self.bounds[suffix], self.bounds[suffix + 1]
+        return zip(self.item[low:high].tolist(), self.start[low:high].tolist(), strict=True)
+
+
+#: The block that this Python worker built last; the next task of the same block takes it from here.
+BUILT: dict[str, Tests] = {}
+
+
+def built(block: str, items: list[tuple[str, str | None]], window: int) -> Tests:
+    if block not in BUILT:
+        BUILT.clear()
+        BUILT[block] = Tests(items, window)
+    return BUILT[block]
 
 
 def sortable(rows: np.ndarray) -> np.ndarray:
@@ -90,15 +114,15 @@ class Shard:
         """Every place where a test suffix occurs: numbers of suffixes, places."""
         low = [np.searchsorted(self.keys, tests.keys, "left")]
         high = [np.searchsorted(self.keys, tests.keys, "right")]
-        for suffix in tests.short:  # from its bytes with zeros after them to its bytes with the greatest ids after them
-            begin = np.array([suffix], dtype=">u4").tobytes()
-            rest = 4 * (tests.window - len(suffix))
+        for words in tests.short_words:  # from its bytes with zeros after them to its bytes with the greatest ids after them
+            begin = words.astype(">u4").tobytes()
+            rest = 4 * (tests.window - len(words))
             ends = np.array([begin, begin + b"\xff" * rest], dtype=self.keys.dtype)
             low.append(np.searchsorted(self.keys, ends[:1], "left"))
             high.append(np.searchsorted(self.keys, ends[1:], "right"))
         low, high = np.concatenate(low), np.concatenate(high)
         sizes = high - low
-        suffixes = np.repeat(np.arange(len(sizes)), sizes)
+        suffixes = np.repeat(np.concatenate([tests.whole, tests.short]), sizes)
         inside = np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes)
         return suffixes, self.at[np.repeat(low, sizes) + inside]
 
@@ -113,6 +137,40 @@ def union_of(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
+def longest_by_span(hits: list[tuple[int, int]], tests: Tests) -> tuple[list[tuple[int, int]], set[int], list[tuple]]:
+    """Hit spans, items, and the longest match (start, length, item, first word in it) of each span.
+
+    ``hits`` are (suffix, place) by place.  Only the diagonals through the current place are held; of equally long
+    matches the first in the document counts, then the smallest item and place in it.
+    """
+    spans: list[tuple[int, int]] = []
+    matches: list[tuple] = []
+    items: set[int] = set()
+    alive: dict[tuple[int, int], int] = {}
+    before = None
+    for place, group in groupby(hits, key=lambda hit: hit[1]):
+        going = alive if before == place - 1 else {}
+        alive, before = {}, place
+        end, best = place, None
+        for suffix, _ in group:
+            stop = place + int(tests.lengths[suffix])
+            end = max(end, stop)
+            for item, start in tests.places(suffix):
+                items.add(item)
+                begin = going.get((item, start), place)
+                alive[item, start + 1] = begin
+                if best is None or begin - stop <= best[0]:
+                    match = (begin - stop, begin, tests.labels[item], start - (place - begin))
+                    best = match if best is None else min(best, match)
+        if spans and place <= spans[-1][1]:
+            spans[-1] = (spans[-1][0], max(end, spans[-1][1]))
+            matches[-1] = min(matches[-1], best)
+        else:
+            spans.append((place, end))
+            matches.append(best)
+    return spans, items, [(begin, -less, label, start) for less, begin, label, start in matches]
+
+
 def search(texts: list[str | None], tests: Tests) -> list[dict]:
     """What occurs in each of some documents, which together are one shard."""
     known = tests.vocabulary.get
@@ -134,34 +192,28 @@ def search(texts: list[str | None], tests: Tests) -> list[dict]:
     for doc, suffix, place in zip(docs[order].tolist(), suffixes[order].tolist(), (at - starts[docs])[order].tolist(), strict=True):
         by_doc.setdefault(doc, []).append((suffix, place))
     for doc, hits in by_doc.items():
-        spans = union_of([(place, place + int(tests.lengths[suffix])) for suffix, place in hits])
-        diagonals: dict[tuple[int, int], list[int]] = {}
-        for suffix, place in hits:
-            length = int(tests.lengths[suffix])
-            for item, start in tests.places[suffix]:
-                runs = diagonals.setdefault((item, place - start), [])
-                if runs and place <= runs[-1]:
-                    runs[-1] = place + length
-                else:
-                    runs += [place, place + length]
+        spans, items, matches = longest_by_span(hits, tests)
         found[doc]["hits"] = [x for span in spans for x in span]
-        found[doc]["items"] = sorted({name for item, _ in diagonals for name in tests.names[item]})
-        found[doc]["matches"] = [
-            {"start": begin, "length": end - begin, "item_id": min(tests.names[item]), "item_start": begin - diagonal}
-            for (item, diagonal), runs in sorted(diagonals.items())
-            for begin, end in zip(runs[0::2], runs[1::2], strict=True)
-        ]
+        found[doc]["items"] = sorted({name for item in items for name in tests.names[item]})
+        found[doc]["matches"] = [dict(zip(MATCH.names, match, strict=True)) for match in matches]
     return found
 
 
 def merged(first: dict, second: dict) -> dict:
     """Findings of the same document in two blocks of the benchmark."""
     hits = [list(zip(f["hits"][0::2], f["hits"][1::2], strict=True)) for f in (first, second)]
+    spans = union_of(hits[0] + hits[1])
+    begins = [begin for begin, _ in spans]
+    best: dict[int, dict] = {}
+    for match in sorted(
+        first["matches"] + second["matches"], key=lambda m: (-m["length"], m["start"], m["item_id"], m["item_start"])
+    ):
+        best.setdefault(bisect_right(begins, match["start"]), match)
     return {
         "n_words": second["n_words"],
-        "hits": [x for span in union_of(hits[0] + hits[1]) for x in span],
+        "hits": [x for span in spans for x in span],
         "items": sorted({*first["items"], *second["items"]}),
-        "matches": first["matches"] + second["matches"],
+        "matches": [best[span] for span in sorted(best)],
     }
 
 
@@ -181,10 +233,10 @@ def search_documents(docs: DataFrame, items: list, found: str, window: int, shar
     """``docs`` (text and whatever else) with the struct column ``found``; ``again`` merges it with an earlier block's."""
     schema = docs.schema if again else docs.withColumn(found, F.lit(None).cast(FOUND)).schema
     names, out_names = docs.columns, schema.names
-    text_at = names.index("text")
+    text_at, block = names.index("text"), uuid.uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tests, held, size = Tests(items, window), [], 0
+        tests, held, size = built(block, items, window), [], 0
 
         def shard() -> Iterator[pa.RecordBatch]:
             results = iter(search([t for batch in held for t in batch.column(text_at).to_pylist()], tests))
@@ -214,7 +266,8 @@ def findings(
     docs: DataFrame, benchmark: DataFrame, found: str, window: int = WINDOW, shard_words: int = SHARD_WORDS,
     block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
-    """``docs`` with a struct column ``found``: number of words, hit spans of words (starts and ends), items, matches.
+    """``docs`` with a struct column ``found``: number of words, hit spans of words (starts and ends), items, and
+    the longest match of each span.
 
     One pass over the documents for each block of the benchmark; later passes start from the written earlier one.
     """
@@ -226,7 +279,7 @@ def findings(
 
 
 def verdicts(docs: DataFrame, benchmark: DataFrame, **options: int) -> DataFrame:
-    """Per document: words, hit words, items found, the longest match and where all matches lie."""
+    """Per document: words, hit words, items found, the length of the longest match, and the longest of each hit span."""
     f = F.col("found")
     # Starts and ends alternate: x - a over an even number of them is the sum of ends less the sum of starts.
     n_hit = F.aggregate(f["hits"], F.lit(0).cast("long"), lambda a, x: x - a)

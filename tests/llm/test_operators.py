@@ -253,6 +253,14 @@ def test_quality_agrees_with_labels(spark):
 # --- contamination ---------------------------------------------------------------------------------------------
 
 
+def common_run(words, at, item, start):
+    """How many words agree from two places on."""
+    n = 0
+    while at + n < len(words) and start + n < len(item) and words[at + n] == item[start + n]:
+        n += 1
+    return n
+
+
 def brute_words(text):
     return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
 
@@ -290,6 +298,10 @@ def test_contamination(spark, options):
         for m in r["matches"]:
             item = brute_words(items[int(m["item_id"])])
             assert words[m["start"] : m["start"] + m["length"]] == item[m["item_start"] : m["item_start"] + m["length"]]
+            brute = max(
+                (n for i in items for a in range(len(brute_words(i))) for n in [common_run(words, m["start"], brute_words(i), a)]), default=0
+            )
+            assert m["length"] == brute
     kept = contamination.remove_contaminated(clashing(table, "found"), bench, **options)
     assert kept.columns == ["doc_id", "text", "found"]
     assert sorted(r["doc_id"] for r in kept.collect()) == sorted(k[0] for k, n in expected.items() if not k[5] for _ in range(n))
@@ -297,6 +309,17 @@ def test_contamination(spark, options):
     assert not any(r["contaminated"] for r in contamination.verdicts(table, bench.limit(0)).collect())
 
 
+def test_frequent_lines_give_one_match_for_each_span():
+    line = prose(random.Random(8), 12)
+    items = [(str(k), f"start{k} {line} end{k}") for k in range(300)]
+    tests = contamination.Tests(items, 10)
+    found = contamination.search([" ".join(f"{line} between{k}" for k in range(50)), None, line], tests)
+    n = len(brute_words(line))
+    assert [len(f["matches"]) for f in found] == [50, 0, 1] and [len(f["items"]) for f in found] == [300, 0, 300]
+    assert {(m["length"], m["item_id"], m["item_start"]) for f in found for m in f["matches"]} == {(n, "0", 1)}
+    assert [m["start"] for m in found[0]["matches"]] == [k * (n + 1) for k in range(50)]
+
+
 def test_copies_of_a_benchmark_row_do_not_fill_a_block(spark):
     items = [(0, "one item that is repeated " * 4)] * 200 + [(i, f"item {i} " * 10) for i in range(1, 20)]
     table = spark.createDataFrame(items, "item_id long, text string")
