@@ -59,7 +59,8 @@ class Tests:
         item = np.repeat(np.arange(len(sizes)), suffixes)
         start = np.arange(len(item)) - np.repeat(np.cumsum(suffixes) - suffixes, suffixes)
         at = (np.cumsum(sizes + window) - sizes - window)[item] + start
-        rows = padded[at[:, None] + np.arange(window)[None, :]] if len(at) else np.zeros((0, window), dtype=np.int32)
+        windows = np.lib.stride_tricks.sliding_window_view(padded, window) if len(at) else np.zeros((0, window), np.int32)
+        rows = windows[at]
         keys, first, which, times = np.unique(sortable(rows), return_index=True, return_inverse=True, return_counts=True)
         order = np.argsort(which, kind="stable")
         self.item, self.start = item[order].astype(np.int32), start[order].astype(np.int32)
@@ -68,7 +69,7 @@ class Tests:
         self.whole, self.short = np.flatnonzero(self.lengths == window), np.flatnonzero(self.lengths < window)
         self.keys = keys[self.whole]
         self.short_words = [rows[first[s], : self.lengths[s]] for s in self.short]
-        begins = rows[first]
+        begins = rows[first, :2]
         self.single = np.zeros(len(self.vocabulary) + 1, dtype=bool)
         self.single[begins[self.lengths == 1, 0]] = True
         begins = begins[self.lengths > 1].astype(np.int64)
