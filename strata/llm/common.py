@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.sources.scratch import scratch_path, stage  # noqa: F401 - for the operators
+
 #: Shingle length and similarity of near duplicates, unless an operator is told otherwise.
 SHINGLE_WORDS, SIMILARITY = 5, 0.8
 
@@ -23,25 +22,6 @@ def words_of(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").translate(WORD_BYTES).split() if text else []
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path below the shared folder of ``spark.checkpoint.dir``; where that is unset, below a folder of this
-    machine, which then becomes the setting (local sessions only)."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root and not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    if not root:
-        root = tempfile.mkdtemp(prefix="strata-llm-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write a frame to the shared folder and read it back: later jobs start from the files, also after a lost executor."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def read_table(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 

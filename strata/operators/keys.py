@@ -3,9 +3,9 @@
 The kept row is the smallest by content (the non-key columns in order), which makes the choice independent of
 row order.  ``first_per_key`` filters a row number down to one, which Spark turns into a group limit on the map
 side, so each task ships at most one row per key.  ``first_given_repeated`` does without even that shuffle once the
-few repeated keys have been written out.  ``repeats_per_key`` needs the other rows, so it first narrows
-to the keys that repeat and then ranks in two steps, inside a salt and across salts, so that no task ever
-receives all rows of a hot key.
+few repeated keys have been written out.  ``repeats_per_key`` needs the other rows: where no key is hot it ranks them
+after one shuffle by key, else it first narrows to the keys that repeat and then ranks in two steps, inside a salt and
+across salts, so that no task ever receives all rows of a hot key.
 """
 
 from __future__ import annotations
@@ -21,6 +21,8 @@ from strata.operators.lookup import fits_broadcast
 
 # Pieces a hot key is cut into; at most this many leaders meet in one task.
 SALTS = 16_384
+# Rows from which on a key is hot: fewer are ranked in one task.
+HOT_ROWS = 1_000
 # Pieces a hot key is cut into while its rows are looked up among the repeated keys.
 LOOKUP_PARTS = 16
 
@@ -43,6 +45,11 @@ def repeated_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count("*").alias("_rows")).filter(F.col("_rows") > 1).drop("_rows")
 
 
+def has_hot_keys(df: DataFrame, keys: Sequence[str]) -> bool:
+    """Whether any key has ``HOT_ROWS`` rows or more.  One job over the key columns, combined before the shuffle."""
+    return not df.groupBy(*keys).agg(F.count("*").alias("_rows")).filter(F.col("_rows") >= HOT_ROWS).isEmpty()
+
+
 def null_safe_match(left: DataFrame, right: DataFrame, keys: Sequence[str], prefix: str = "") -> Column:
     """Equality on all keys that also matches null with null."""
     return reduce(Column.__and__, [left[k].eqNullSafe(right[f"{prefix}{k}"]) for k in keys])
@@ -76,9 +83,17 @@ def repeats_per_key(
     order_by: Sequence[Column | str] = (),
     repeated: DataFrame | None = None,
 ) -> DataFrame:
-    """Every row that ``first_per_key`` with the same arguments leaves out, copies included."""
+    """Every row that ``first_per_key`` with the same arguments leaves out, copies included.
+
+    Without ``repeated`` a job looks for hot keys first; if there are none, the rows are shuffled once.
+    """
     order = _content_order(df, keys, order_by)
     columns = df.columns
+    if repeated is None and not has_hot_keys(df, keys):
+        # By the whole key: a partitioning by part of it, left by a join, may gather many keys in one task.
+        dealt = df.repartition(*[F.col(f"`{k}`") for k in keys])
+        numbered = dealt.withColumn("_row", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+        return numbered.filter(F.col("_row") > 1).drop("_row")
     hot = _prefixed(repeated_keys(df, keys) if repeated is None else repeated, keys)
     # The input partition spreads exact copies, the content spreads the distinct rows of a key.
     rest = [F.col(f"`{c}`") for c in columns if c not in keys]
