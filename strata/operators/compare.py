@@ -2,19 +2,34 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strata.sources.scratch import stage
+
+# Rows of both frames that one task compares.
+ROWS_PER_TASK = 500_000
+# Deviations from which on a sum of hashes speaks of one row with many copies.
+HEAT = 6
+
 
 def differences(left: DataFrame, right: DataFrame) -> DataFrame:
     """Rows that one frame holds more often than the other, columns matched by name; ``_surplus`` is how much more often
     the left one does.  One pass over each frame."""
+    return _unbalanced(_signed(left, right), left.columns)
+
+
+def _signed(left: DataFrame, right: DataFrame) -> DataFrame:
     one = lambda df, n: df.select(*left.columns).withColumn("_surplus", F.lit(n))
-    both = one(left, 1).unionByName(one(right, -1))
-    return both.groupBy(*[F.col(f"`{c}`") for c in left.columns]).agg(F.sum("_surplus").alias("_surplus")).filter("_surplus <> 0")
+    return one(left, 1).unionByName(one(right, -1))
+
+
+def _unbalanced(both: DataFrame, columns: Sequence[str]) -> DataFrame:
+    return both.groupBy(*[F.col(f"`{c}`") for c in columns]).agg(F.sum("_surplus").alias("_surplus")).filter("_surplus <> 0")
 
 
 def same_rows(left: DataFrame, right: DataFrame) -> bool:
@@ -51,8 +66,8 @@ def fingerprints(df: DataFrame, by: Sequence[str], columns: Sequence[str] | None
     return df.groupBy(*[F.col(f"`{c}`") for c in by]).agg(F.count(F.lit(1)).alias("_rows"), total.alias("_hash"))
 
 
-def differing_partitions(left: DataFrame, right: DataFrame, by: Sequence[str]) -> DataFrame:
-    """(by, left_rows, right_rows) of the partitions whose rows are not the same; nulls are a partition as well."""
+def _differing_prints(left: DataFrame, right: DataFrame, by: Sequence[str]) -> DataFrame:
+    """The partitions whose rows are not the same, with the rows and sums of hashes of both sides."""
     prints = lambda df, side: fingerprints(df, by, left.columns).withColumnsRenamed({"_rows": f"{side}_rows", "_hash": f"_{side}"})
     first, second = prints(left, "left"), prints(right, "right")
     other = second.withColumnsRenamed({c: f"_r_{c}" for c in by})
@@ -61,16 +76,44 @@ def differing_partitions(left: DataFrame, right: DataFrame, by: Sequence[str]) -
     keys = [F.when(F.col("_l"), F.col(f"`{c}`")).otherwise(F.col(f"`_r_{c}`")).alias(c) for c in by]
     zero = F.lit(0).cast("long")
     return both.filter(~F.col("_left").eqNullSafe(F.col("_right")) | ~F.col("left_rows").eqNullSafe(F.col("right_rows"))).select(
-        *keys, F.coalesce("left_rows", zero).alias("left_rows"), F.coalesce("right_rows", zero).alias("right_rows")
+        *keys, F.coalesce("left_rows", zero).alias("left_rows"), F.coalesce("right_rows", zero).alias("right_rows"), "_left", "_right"
     )
 
 
+def differing_partitions(left: DataFrame, right: DataFrame, by: Sequence[str]) -> DataFrame:
+    """(by, left_rows, right_rows) of the partitions whose rows are not the same; nulls are a partition as well."""
+    return _differing_prints(left, right, by).drop("_left", "_right")
+
+
+def _hot(side: str) -> Column:
+    """Whether a side of a partition seems to hold one row many times.
+
+    Hashes of different rows cancel out: their sum stays within a few roots of their number.  Copies of a row add up.
+    """
+    deviation = F.sqrt(F.col(f"{side}_rows") / 3) * float(2**63)
+    return F.coalesce(F.abs(F.col(f"_{side}").cast("double")) > HEAT * deviation, F.lit(False)) & (F.col(f"{side}_rows") > ROWS_PER_TASK)
+
+
 def differences_by_partition(left: DataFrame, right: DataFrame, by: Sequence[str]) -> DataFrame:
     """``differences``, looked for only in the partitions whose fingerprints differ: where both frames are equal, or
-    nearly, hardly a row is shuffled."""
-    parts = differing_partitions(left, right, by).select(*[F.col(f"`{c}`").alias(f"_p_{c}") for c in by])
+    nearly, hardly a row is shuffled.
+
+    The fingerprints are computed at once and written.  They tell how many rows are left, and these are dealt out so that
+    a task compares about ``ROWS_PER_TASK``, whatever the sizes of files and shuffle partitions.  Only where a row
+    seems to have many copies are rows combined before the shuffle, in as much memory as their different ones take.
+    """
+    prints = stage(_differing_prints(left, right, by), "differing-partitions")
+    rows, hot = prints.agg(F.sum(F.col("left_rows") + F.col("right_rows")), F.max(_hot("left") | _hot("right"))).first()
+    parts = prints.select(*[F.col(f"`{c}`").alias(f"_p_{c}") for c in by])
 
     def within(df: DataFrame) -> DataFrame:
         return df.join(parts, [df[c].eqNullSafe(parts[f"_p_{c}"]) for c in by], "left_semi")
 
-    return differences(within(left), within(right))
+    both = _signed(within(left), within(right))
+    if hot:
+        return _unbalanced(both, left.columns)
+    tasks = max(1, math.ceil((rows or 0) / ROWS_PER_TASK))
+    # A number that equal rows share; some for each task, so that tasks are of like size.
+    spread = F.pmod(row_hash(both, left.columns), F.lit(16 * tasks))
+    dealt = both.withColumn("_spread", spread).repartition(tasks, "_spread")
+    return _unbalanced(dealt, ["_spread", *left.columns]).drop("_spread")
